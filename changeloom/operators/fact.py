@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.decimals import MONEY, line_amount
 from .asof import BEGINNING, first_versions, resolve_asof
@@ -126,20 +127,44 @@ class Facts(NamedTuple):
     quarantine: DataFrame
 
 
-def split_facts(resolved: DataFrame, dim_dates: DataFrame) -> Facts:
-    """Resolved lines into the fact, lines with unknown members, and lines that break a rule."""
-    known = F.col("customer").isNotNull() & F.col("product").isNotNull()
-    flagged = flag_dates(resolved.filter(known), dim_dates, ["order_date"], ["delivery_date"])
-    rules = {
+def _flagged(resolved: DataFrame, dim_dates: DataFrame) -> DataFrame:
+    return flag_dates(resolved, dim_dates, ["order_date"], ["delivery_date"])
+
+
+def _known() -> Column:
+    return F.col("customer").isNotNull() & F.col("product").isNotNull()
+
+
+def _rules() -> dict[str, Column]:
+    return {
         "order_date_not_in_calendar": F.col("order_date_ok"),
         "delivery_date_not_in_calendar": F.col("delivery_date_ok"),
         "total_amount_too_large": F.col("total_amount").isNotNull(),
     }
-    fact = (
-        accepted(flagged, rules)
-        .withColumn("customer_order_item", F.col("order_item_id"))
+
+
+def as_fact(lines: DataFrame) -> DataFrame:
+    """Good lines in the layout of the fact table."""
+    return (
+        lines.withColumn("customer_order_item", F.col("order_item_id"))
         .withColumn("status_lc", F.lower("status"))
         .select(*FACT_COLUMNS)
     )
-    bad = rejected(flagged, rules).drop("order_date_ok", "delivery_date_ok")
-    return Facts(fact, resolved.filter(~known), bad)
+
+
+def split_facts(resolved: DataFrame, dim_dates: DataFrame) -> Facts:
+    """Resolved lines into the fact, lines with unknown members, and lines that break a rule."""
+    flagged = _flagged(resolved.filter(_known()), dim_dates)
+    bad = rejected(flagged, _rules()).drop("order_date_ok", "delivery_date_ok")
+    return Facts(as_fact(accepted(flagged, _rules())), resolved.filter(~_known()), bad)
+
+
+def with_state(resolved: DataFrame, dim_dates: DataFrame) -> DataFrame:
+    """The same decision as a column ``state``: fact, unresolved or rejected."""
+    good = reduce(lambda a, b: a & b, _rules().values())
+    state = F.when(~_known(), "unresolved").when(good, "fact").otherwise("rejected")
+    return (
+        _flagged(resolved, dim_dates)
+        .withColumn("state", state)
+        .drop("order_date_ok", "delivery_date_ok")
+    )

@@ -157,6 +157,12 @@ _DIM_CUSTOMERS = f"""
     LEFT JOIN (SELECT customer_id, min(seq) AS seq, arg_min(ts, seq) AS ts FROM customer_changes GROUP BY 1) f
       ON f.customer_id = u.customer_id"""
 
+_DIM_PRODUCTS = _with(
+    ("product_changes",),
+    f"""SELECT v.from_seq AS product, v.* FROM
+        ({_versions("product_id", "product_name, barcode", "product_changes")}) v""",
+)
+
 _FACT_SQL = _with(_FACT, _SHOWN_FACT)
 
 
@@ -164,6 +170,24 @@ def oracle() -> dict[str, str]:
     return {
         "fact_build": _FACT_SQL,
         "fact_from_log": _FACT_SQL,
+        "stream_fact_build": _FACT_SQL,
+        "stream_replay": _FACT_SQL,
+        "stream_scd2": _DIM_PRODUCTS,
+        "stream_changed_lines": _with(_LINES, "SELECT * FROM lines"),
+        "stream_joined_within": _with(
+            ("order_events", "item_events"),
+            """SELECT o.order_id, i.order_item_id, arg_min_null(o.customer_id, o.seq) AS customer_id,
+                      strftime(arg_min_null(o.od, o.seq), '%Y%m%d')::INT AS order_date,
+                      arg_max_null(o.status, o.seq) AS status,
+                      strftime(arg_max_null(o.dd, o.seq), '%Y%m%d')::INT AS delivery_date,
+                      arg_min_null(i.product_id, i.seq) AS product_id,
+                      arg_max_null(i.quantity, i.seq) AS quantity,
+                      greatest(min(o.seq), min(i.seq)) AS first_at,
+                      greatest(max(o.seq), max(i.seq)) AS last_at
+               FROM order_events o JOIN item_events i ON i.order_id = o.order_id
+                AND i.ts BETWEEN o.ts - INTERVAL 60 DAY AND o.ts + INTERVAL 60 DAY
+               GROUP BY o.order_id, i.order_item_id""",
+        ),
         "fact_consistent_price": _with(_FACT, _SHOWN_FACT, at="first_at"),
         "fact_without_sources": _with(
             _FIRST, _SHOWN_FACT, "first_customer_members", "first_product_members"
@@ -297,11 +321,7 @@ def oracle() -> dict[str, str]:
             SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS from_seq,
                    arg_max(ts, event_id) AS valid_from FROM events GROUP BY user_id""",
         "scd2_customers": _with(_FACT, _DIM_CUSTOMERS),
-        "scd2_products": _with(
-            ("product_changes",),
-            f"""SELECT v.from_seq AS product, v.* FROM
-                ({_versions("product_id", "product_name, barcode", "product_changes")}) v""",
-        ),
+        "scd2_products": _DIM_PRODUCTS,
         "surrogate_keys": """
             SELECT event_id, user_id, event_type, row_number() OVER (ORDER BY event_id) AS member FROM events""",
         "dim_resolve_asof": """

@@ -26,6 +26,31 @@ KEYS = {
     "order_items": "order_item_id",
 }
 
+_MONEY = T.DecimalType(13, 5)
+
+# Tables that the stream keeps. Rows of orders and order_items are mergeable state.
+KEPT = {
+    "customers": _struct(seq=_L, ts=_TS, customer_id=_L, customer_name=_S, customer_address=_S),
+    "products": _struct(
+        seq=_L, ts=_TS, product_id=_L, product_name=_S, barcode=_S, unity_price=_MONEY
+    ),
+    "orders": _struct(
+        order_id=_L, first_seq=_L, customer_id=_L, order_date=_I, created_at=_TS,
+        last_seq=_L, status=_S, delivery_seq=_L, delivery_date=_I, updated_at=_TS,
+    ),
+    "order_items": _struct(
+        order_item_id=_L, first_seq=_L, order_id=_L, product_id=_L, created_at=_TS,
+        last_seq=_L, quantity=_I, updated_at=_TS,
+    ),
+    "quarantine": _struct(table=_S, seq=_L, value=_S, reasons=T.ArrayType(_S)),
+    "lines": _struct(
+        order_item_id=_L, order_id=_L, customer_id=_L, product_id=_L, order_date=_I,
+        delivery_date=_I, status=_S, quantity=_I, first_at=_L, last_at=_L, created_at=_TS,
+        updated_at=_TS, customer=_L, product=_L, unity_price=_MONEY, total_amount=_MONEY, state=_S,
+    ),
+    "commits": _struct(base=_L),
+}
+
 CORRUPT = "_corrupt_record"
 
 LOG = _struct(topic=_S, partition=_I, offset=_L, seq=_L, value=_S)
