@@ -102,12 +102,13 @@ def resolve_lines(
     customers = members(customer_changes, "customer_id", [], customer_source)
     products = members(product_changes, "product_id", ["unity_price"], product_source)
     salt_by = ["order_item_id"]
+    unresolved = lines
 
-    hot = hot_keys_if_large(customers, "customer_id", "from_seq", lines, one_task_bytes)
+    hot = hot_keys_if_large(customers, "customer_id", "from_seq", unresolved, one_task_bytes)
     probes = {"first_at": {"customer": "surrogate"}}
     lines = resolve_asof(lines, customers, "customer_id", "from_seq", probes, salt_by, hot)
 
-    hot = hot_keys_if_large(products, "product_id", "from_seq", lines, one_task_bytes)
+    hot = hot_keys_if_large(products, "product_id", "from_seq", unresolved, one_task_bytes)
     probes = {"first_at": {"product": "surrogate", "unity_price": "unity_price"}}
     if price_mode == "reference":
         probes["last_at"] = {"_last_price": "unity_price"}

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 # Up to this size a whole input may go through one task, so no key can be too hot for it.
 ONE_TASK_BYTES = 1 << 30
@@ -27,13 +27,14 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
-def _keys_over_share(df: DataFrame, key: str, share: float) -> DataFrame:
-    """At most ``1 / share`` keys with more than ``share`` of the rows of ``df``."""
+def _keys_over_share(df: DataFrame, key: str, share: float) -> set:
+    """The keys, at most ``1 / share`` of them, with more than ``share`` of the rows of ``df``."""
     counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    most = math.ceil(1 / share)
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows")).first()["rows"]
-    top = counts.filter(F.col(key).isNotNull()).orderBy(F.desc("n")).limit(most)
-    return top.filter(F.col("n") > F.lit(total * share)).select(key)
+    largest = counts.orderBy(F.desc("n")).limit(math.floor(1 / share)).collect()
+    if not largest:
+        return set()
+    total = df.count()
+    return {row[key] for row in largest if row[key] is not None and row["n"] > total * share}
 
 
 def hot_keys(
@@ -46,21 +47,27 @@ def hot_keys(
 ) -> DataFrame:
     """``key, bounds``: keys hot among ``versions`` (or ``facts``) and the slice bounds of each.
 
-    The bounds are quantiles of the key's own version order.
+    The bounds are quantiles of the key's own version order. The result is found out at once and
+    is a local table of at most ``2 / share`` rows.
     """
+    spark = versions.sparkSession
     hot = _keys_over_share(versions, key, share)
     if facts is not None:
-        hot = hot.unionByName(_keys_over_share(facts, key, share)).distinct()
-    hot = F.broadcast(hot)
+        hot |= _keys_over_share(facts, key, share)
     steps = [i / slices for i in range(1, slices)]
     bounds = (
-        versions.join(hot, key, "left_semi")
+        versions.filter(F.col(key).isin(*hot))
         .groupBy(key)
         .agg(F.percentile_approx(order, steps).alias("bounds"))
+        .collect()
+        if hot
+        else []
     )
-    return hot.join(bounds, key, "left").select(
-        key, F.coalesce("bounds", F.array().cast("array<bigint>")).alias("bounds")
+    known = {row[key]: row["bounds"] for row in bounds}
+    schema = T.StructType(
+        [versions.schema[key], T.StructField("bounds", T.ArrayType(T.LongType()), False)]
     )
+    return spark.createDataFrame([(k, known.get(k, [])) for k in sorted(hot)], schema)
 
 
 def hot_keys_if_large(
