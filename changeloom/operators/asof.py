@@ -1,17 +1,23 @@
 """Point-in-time resolution: the version of a key that was valid at a position.
 
-Both sides are put into one DataFrame, which is shuffled by the key and read in order; the last
-version seen is the valid one. The cost is linear in facts plus versions, whatever the number of
-versions per key: no fact meets more than one version.
+A history that was counted and found small is broadcast with its validity intervals, so the facts
+stay where they are. Otherwise both sides are put into one DataFrame, which is shuffled by the
+key and read in order; the last version seen is the valid one. That costs time linear in facts
+plus versions, whatever the number of versions per key.
 """
 
 from __future__ import annotations
 
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .skew import SALTS, slice_of
+from .skew import SALTS, input_bytes, slice_of
 
 BEGINNING = -(2**63)
+# Bounds of a history that is broadcast: its inputs, its rows, and the versions of a key.
+BROADCAST_INPUT_BYTES = 256 << 20
+BROADCAST_ROWS = 500_000
+BROADCAST_VERSIONS = 64
 
 
 def first_versions(versions: DataFrame, key: str, order: str) -> DataFrame:
@@ -57,6 +63,49 @@ def _resolve_together(
     return both.filter(F.col("_is_fact") == 1).select(*facts.columns, *resolved)
 
 
+def small_history(versions: DataFrame, key: str, order: str) -> DataFrame | None:
+    """The validity intervals of ``versions`` as a local table, or None if they are not small.
+
+    Tried only if the planner knows the inputs to be small. At most ``BROADCAST_ROWS`` rows come
+    to the driver; the number of versions per key bounds what each fact is compared with.
+    """
+    if input_bytes(versions) > BROADCAST_INPUT_BYTES:
+        return None
+    later = Window.partitionBy(key).orderBy(order)
+    intervals = versions.dropDuplicates([key, order]).withColumn("_to", F.lead(order).over(later))
+    table = intervals.limit(BROADCAST_ROWS + 1).toArrow()
+    if table.num_rows > BROADCAST_ROWS:
+        return None
+    per_key = table.group_by(key).aggregate([(order, "count")])[f"{order}_count"]
+    if (pc.max(per_key).as_py() or 0) > BROADCAST_VERSIONS:
+        return None
+    return versions.sparkSession.createDataFrame(table, intervals.schema)
+
+
+def resolve_small(
+    facts: DataFrame,
+    intervals: DataFrame,
+    key: str,
+    order: str,
+    probes: dict[str, dict[str, str]],
+) -> DataFrame:
+    """``resolve_asof`` by interval joins with a ``small_history``; at most one version matches."""
+    for at, columns in probes.items():
+        history = F.broadcast(
+            intervals.select(
+                F.col(key).alias("_key"),
+                F.col(order).alias("_from"),
+                "_to",
+                *[F.col(source).alias(name) for name, source in columns.items()],
+            )
+        )
+        begun = F.col("_from") <= F.col(at)
+        not_over = F.col("_to").isNull() | (F.col("_to") > F.col(at))
+        same = F.col(key) == F.col("_key")
+        facts = facts.join(history, same & begun & not_over, "left").drop("_key", "_from", "_to")
+    return facts
+
+
 def _split_versions(versions: DataFrame, hot: DataFrame, key: str, order: str, salts: int) -> DataFrame:
     """Versions with ``_slice`` and ``_salt``.
 

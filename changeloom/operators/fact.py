@@ -8,10 +8,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.decimals import MONEY, line_amount
-from .asof import BEGINNING, first_versions, resolve_asof
+from .asof import BEGINNING, first_versions, resolve_asof, resolve_small, small_history
 from .calendar import flag_dates
 from .constraints import accepted, rejected
-from .skew import ONE_TASK_BYTES, hot_keys_if_large
+from .skew import ONE_TASK_BYTES, hot_keys, input_bytes
 from .surrogate import inferred_key
 
 FACT_COLUMNS = (
@@ -96,23 +96,31 @@ def resolve_lines(
     Members and unit price are those valid at ``first_at`` and stay so. With ``price_mode``
     "reference" the total follows the price at ``last_at``; with "consistent" it follows the
     unit price of the line. Unknown members leave ``customer`` or ``product`` null.
+
+    Inputs of up to ``one_task_bytes`` are resolved in one plan. For larger ones the history is
+    looked at first: a small one is broadcast, else hot keys are found and split.
     """
     if price_mode not in ("reference", "consistent"):
         raise ValueError(f"unknown price_mode {price_mode!r}")
-    customers = members(customer_changes, "customer_id", [], customer_source)
-    products = members(product_changes, "product_id", ["unity_price"], product_source)
-    salt_by = ["order_item_id"]
-    unresolved = lines
+    staged = lines
 
-    hot = hot_keys_if_large(customers, "customer_id", "from_seq", unresolved, one_task_bytes)
-    probes = {"first_at": {"customer": "surrogate"}}
-    lines = resolve_asof(lines, customers, "customer_id", "from_seq", probes, salt_by, hot)
+    def resolved(versions: DataFrame, key: str, probes: dict[str, dict[str, str]]) -> DataFrame:
+        hot = None
+        if input_bytes(staged) + input_bytes(versions) > one_task_bytes:
+            small = small_history(versions, key, "from_seq")
+            if small is not None:
+                return resolve_small(lines, small, key, "from_seq", probes)
+            hot = hot_keys(versions, key, "from_seq", staged)
+        return resolve_asof(lines, versions, key, "from_seq", probes, ["order_item_id"], hot)
 
-    hot = hot_keys_if_large(products, "product_id", "from_seq", unresolved, one_task_bytes)
+    customers = members(customer_changes, "customer_id", [], customer_source)
+    lines = resolved(customers, "customer_id", {"first_at": {"customer": "surrogate"}})
+
+    products = members(product_changes, "product_id", ["unity_price"], product_source)
     probes = {"first_at": {"product": "surrogate", "unity_price": "unity_price"}}
     if price_mode == "reference":
         probes["last_at"] = {"_last_price": "unity_price"}
-    lines = resolve_asof(lines, products, "product_id", "from_seq", probes, salt_by, hot)
+    lines = resolved(products, "product_id", probes)
 
     paid = "_last_price" if price_mode == "reference" else "unity_price"
     return (

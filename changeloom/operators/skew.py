@@ -71,17 +71,10 @@ def hot_keys(
 
 
 def hot_keys_if_large(
-    versions: DataFrame,
-    key: str,
-    order: str,
-    facts: DataFrame | None = None,
-    one_task_bytes: int = ONE_TASK_BYTES,
+    rows: DataFrame, key: str, order: str, one_task_bytes: int = ONE_TASK_BYTES
 ) -> DataFrame | None:
-    """Hot keys, or None where the inputs are small enough for any one task."""
-    size = input_bytes(versions) + (input_bytes(facts) if facts is not None else 0)
-    if size <= one_task_bytes:
-        return None
-    return hot_keys(versions, key, order, facts)
+    """Hot keys, or None where the input is small enough for any one task."""
+    return hot_keys(rows, key, order) if input_bytes(rows) > one_task_bytes else None
 
 
 def slice_of(bounds: Column, at: Column) -> Column:

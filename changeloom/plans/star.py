@@ -38,7 +38,7 @@ def dimension(
     one_task_bytes: int = ONE_TASK_BYTES,
 ) -> DataFrame:
     """Type-2 dimension: surrogate, natural key, attributes and validity."""
-    hot = hot_keys_if_large(changes, key, "seq", one_task_bytes=one_task_bytes)
+    hot = hot_keys_if_large(changes, key, "seq", one_task_bytes)
     rows = scd2.versions(changes, key, attrs, dedup_unchanged, hot)
     return rows.select(
         F.col("from_seq").alias(surrogate),
@@ -92,6 +92,22 @@ def with_inferred(
     return dim.unionByName(inferred)
 
 
+def write_facts(fact: DataFrame, path: str) -> None:
+    """Fact table by delivery month, for reports.
+
+    Ranges of (month, order) make files of even size whatever the size of a month, few files per
+    month, and keep the lines of an order together, which helps counting distinct orders.
+    """
+    month = F.floor(F.col("delivery_date") / 100).cast("int")
+    (
+        fact.withColumn("delivery_month", month)
+        .repartitionByRange("delivery_month", "order_id")
+        .write.mode("overwrite")
+        .partitionBy("delivery_month")
+        .parquet(path)
+    )
+
+
 def build_lines(changes: ChangeTables, keep_delivery_on_null: bool = False) -> DataFrame:
     orders = staging_orders(changes.orders, keep_delivery_on_null)
     return facts.join_lines(orders, staging_items(changes.order_items))

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 
 import world
-from changeloom.operators import fact as facts, state
+from changeloom.operators import asof, fact as facts, state
 from changeloom.operators.calendar import build_dim_dates
 from changeloom.plans import star
 from world import customer, item, order, product
@@ -30,8 +30,13 @@ def random_worlds(count=150, size=40):
 
 
 @pytest.mark.parametrize("price_mode", ["reference", "consistent"])
-@pytest.mark.parametrize("one_task_bytes", [1 << 30, 0])
-def test_equals_event_by_event_account(spark, price_mode, one_task_bytes):
+@pytest.mark.parametrize("way", ["broadcast", "together", "split"])
+def test_equals_event_by_event_account(spark, monkeypatch, price_mode, way):
+    one_task_bytes = 1 << 30 if way == "together" else 0
+    if way == "broadcast":
+        monkeypatch.setattr(asof, "BROADCAST_VERSIONS", 10_000)
+    if way == "split":
+        monkeypatch.setattr(facts, "small_history", lambda *args: None)
     messages = random_worlds()
     known = world.sources(messages)
     customers, products = world.source_frames(spark, *known)

@@ -8,7 +8,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from changeloom.operators import scd2, skew, upsert
+from changeloom.operators import asof, scd2, skew, upsert
 from changeloom.operators.asof import resolve_asof
 from changeloom.operators.calendar import build_dim_dates
 from changeloom.operators.surrogate import dense_number
@@ -26,14 +26,20 @@ def skewed(spark):
     return spark.createDataFrame(facts), spark.createDataFrame(changes)
 
 
-@pytest.mark.parametrize("split", [False, True])
-def test_asof_equals_a_search_per_fact(spark, split):
+@pytest.mark.parametrize("way", ["together", "split", "broadcast"])
+def test_asof_equals_a_search_per_fact(spark, monkeypatch, way):
     facts, versions = skewed(spark)
-    hot = skew.hot_keys(versions, "k", "from_seq", facts, share=0.1, slices=5) if split else None
-    if split:
+    hot = None
+    if way == "split":
+        hot = skew.hot_keys(versions, "k", "from_seq", facts, share=0.1, slices=5)
         assert [r.k for r in hot.collect()] == [0]
     probes = {"at": {"first": "name"}, "later": {"last": "name"}}
-    got = resolve_asof(facts, versions, "k", "from_seq", probes, ["id"], hot, salts=3).collect()
+    if way == "broadcast":
+        monkeypatch.setattr(asof, "BROADCAST_VERSIONS", 10_000)
+        small = asof.small_history(versions.union(versions.limit(100)), "k", "from_seq")
+        got = asof.resolve_small(facts, small, "k", "from_seq", probes).collect()
+    else:
+        got = resolve_asof(facts, versions, "k", "from_seq", probes, ["id"], hot, 3).collect()
     starts = {}
     for row in versions.orderBy("from_seq").collect():
         starts.setdefault(row.k, []).append(row.from_seq)
@@ -55,6 +61,20 @@ def test_hot_keys_are_split_over_many_groups(spark):
     assert len(sizes) == 5 and max(sizes) < 1.2 * sum(sizes) / 5
 
 
+def test_only_small_and_short_histories_are_broadcast(spark, monkeypatch):
+    facts, versions = skewed(spark)
+    short = versions.filter("k > 0")
+
+    def small(frame):
+        return asof.small_history(frame, "k", "from_seq") is not None
+
+    assert not small(versions)  # key 0 has hundreds of versions
+    assert small(short)
+    assert not small(spark.createDataFrame(short.rdd))  # nobody knows the size
+    monkeypatch.setattr(asof, "BROADCAST_ROWS", 10)
+    assert not small(short)
+
+
 def changes(spark, rows):
     names = ["k", "name", "seq", "ts"]
     data = [(k, n, s, dt.datetime(2026, 1, 1) + dt.timedelta(seconds=s)) for k, n, s in rows]

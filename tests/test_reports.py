@@ -4,7 +4,7 @@ import pyarrow as pa
 import pytest
 
 from changeloom.operators.calendar import build_dim_dates
-from changeloom.plans import reports
+from changeloom.plans import reports, star
 
 
 @pytest.fixture(scope="module")
@@ -120,6 +120,16 @@ def test_filters_reach_the_scan(fact):
     assert "TakeOrderedAndProject" in text
 
 
+def test_written_facts_are_pruned_by_month(spark, fact, tmp_path):
+    path = str(tmp_path / "facts")
+    star.write_facts(fact, path)
+    stored = spark.read.parquet(path)
+    report = reports.orders_by_delivery_date_and_status(stored, date_from="2026-01-06")
+    assert rows(report) == [(20260107, "open", 1), (20260106, "open", 1)]
+    assert "(delivery_month" in plan(report).split("PartitionFilters:")[1][:200]
+    assert rows(reports.top_customers_by_orders(stored, limit=1)) == [(12, 3)]
+
+
 def test_no_python_in_reports(fact):
     for report in (
         reports.orders_by_delivery_date_and_status(fact),
