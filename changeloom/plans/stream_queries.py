@@ -92,7 +92,7 @@ def stream_changed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     try:
         orders, items = _event_streams(spark, sf_dir, files=2)
-        rows = _appended(spark, stateful.changed_lines(orders, items), "changed", "update")
+        rows = _appended(spark, stateful.changed_lines(orders, items, salts=2), "changed", "update")
     finally:
         spark.conf.set(name, before)
     return tables.newest_lines(rows).drop("batch")

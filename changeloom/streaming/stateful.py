@@ -25,33 +25,37 @@ NO_DATE = 0
 _ORDER = "first_seq LONG, customer_id LONG, order_date INT, created_at TIMESTAMP, last_seq LONG, status STRING, delivery_seq LONG, delivery_date INT, updated_at TIMESTAMP"
 _ITEM = "first_seq LONG, product_id LONG, created_at TIMESTAMP, last_seq LONG, quantity INT, updated_at TIMESTAMP"
 _OUT = "order_id LONG, order_item_id LONG, customer_id LONG, product_id LONG, order_date INT, delivery_date INT, status STRING, quantity INT, first_at LONG, last_at LONG, created_at TIMESTAMP, updated_at TIMESTAMP"
-_ORDER_FIRST = ("first_seq", "customer_id", "order_date", "created_at")
-_ORDER_LAST = ("last_seq", "status", "updated_at")
-_DELIVERY = ("delivery_seq", "delivery_date")
-_ITEM_FIRST = ("first_seq", "product_id", "created_at")
-_ITEM_LAST = ("last_seq", "quantity", "updated_at")
 
 
 def _merged(old: dict | None, new: dict, *groups: tuple[tuple[str, ...], bool]) -> dict:
     """Merge two state rows: of each group of columns, those with the lower or higher order."""
     if old is None:
         return new
-    merged = {}
+    merged = dict(old)
     for columns, lowest in groups:
         was, comes = old[columns[0]], new[columns[0]]
-        take_new = comes < was if lowest else comes > was
-        merged |= {c: (new if take_new else old)[c] for c in columns}
+        if comes < was if lowest else comes > was:
+            merged |= {c: new[c] for c in columns}
     return merged
 
 
-def _records(rows: pd.DataFrame, columns: list[str]) -> list[dict]:
-    return rows[columns].astype(object).to_dict("records")
-
-
 def _columns(ddl: str) -> list[str]:
     return [field.split()[0] for field in ddl.split(", ")]
 
 
+_ORDER_COLUMNS, _ITEM_COLUMNS = _columns(_ORDER), _columns(_ITEM)
+# Columns that are taken together, by the first of them: from the lower or the higher row.
+_ORDER_GROUPS = (
+    (("first_seq", "customer_id", "order_date", "created_at"), True),
+    (("last_seq", "status", "updated_at"), False),
+    (("delivery_seq", "delivery_date"), False),
+)
+_ITEM_GROUPS = (
+    (("first_seq", "product_id", "created_at"), True),
+    (("last_seq", "quantity", "updated_at"), False),
+)
+
+
 class OrderLines(StatefulProcessor):
     """State of one (order, salt): the order's row, and a row per item."""
 
@@ -59,52 +63,40 @@ class OrderLines(StatefulProcessor):
         self.order = handle.getValueState("order", _ORDER)
         self.items = handle.getMapState("items", "order_item_id LONG", _ITEM)
 
-    def _merge_order(self, rows: pd.DataFrame) -> bool:
-        columns = _columns(_ORDER)
-        stored = self.order.get() if len(rows) else None
-        state = dict(zip(columns, stored)) if stored else None
-        for row in _records(rows, columns):
-            state = _merged(
-                state, row, (_ORDER_FIRST, True), (_ORDER_LAST, False), (_DELIVERY, False)
-            )
-        if len(rows):
-            self.order.update(tuple(state[c] for c in columns))
-        return len(rows) > 0
-
-    def _merge_items(self, rows: pd.DataFrame) -> set[int]:
-        columns = _columns(_ITEM)
-        touched = {}
-        for key, row in zip(rows["order_item_id"], _records(rows, columns)):
-            key = int(key)
-            if key not in touched:
-                stored = self.items.getValue((key,))
-                touched[key] = dict(zip(columns, stored)) if stored else None
-            touched[key] = _merged(touched[key], row, (_ITEM_FIRST, True), (_ITEM_LAST, False))
-        for key, row in touched.items():
-            self.items.updateValue((key,), tuple(row[c] for c in columns))
-        return set(touched)
-
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        order_changed, touched = False, set()
-        for chunk in rows:
-            order_changed |= self._merge_order(chunk[chunk["is_order"]])
-            touched |= self._merge_items(chunk[~chunk["is_order"]])
         stored = self.order.get()
-        if not stored:
+        order = dict(zip(_ORDER_COLUMNS, stored)) if stored else None
+        order_changed, touched = False, {}
+        for chunk in rows:
+            for row in chunk.to_dict("records"):
+                if row["is_order"]:
+                    order = _merged(order, {c: row[c] for c in _ORDER_COLUMNS}, *_ORDER_GROUPS)
+                    order_changed = True
+                    continue
+                item = int(row["order_item_id"])
+                if item not in touched:
+                    stored = self.items.getValue((item,))
+                    touched[item] = dict(zip(_ITEM_COLUMNS, stored)) if stored else None
+                new = {c: row[c] for c in _ITEM_COLUMNS}
+                touched[item] = _merged(touched[item], new, *_ITEM_GROUPS)
+        for item, row in touched.items():
+            self.items.updateValue((item,), tuple(row.values()))
+        if order_changed:
+            self.order.update(tuple(order.values()))
+        if order is None:
             return
-        order = dict(zip(_columns(_ORDER), stored))
         if order_changed:
-            changed = ((int(item[0]), row) for item, row in self.items.iterator())
+            changed = ((item[0], dict(zip(_ITEM_COLUMNS, row))) for item, row in self.items.iterator())
         else:
-            changed = ((item, self.items.getValue((item,))) for item in touched)
+            changed = touched.items()
         page = []
         for item, row in changed:
-            page.append(self._line(key[0], order, item, dict(zip(_columns(_ITEM), row))))
+            page.append(self._line(key[0], order, int(item), row))
             if len(page) == 10_000:
-                yield pd.DataFrame(page, columns=_columns(_OUT))
+                yield pd.DataFrame(page)
                 page = []
         if page:
-            yield pd.DataFrame(page, columns=_columns(_OUT))
+            yield pd.DataFrame(page)
 
     @staticmethod
     def _line(order_id, order: dict, item_id: int, item: dict) -> dict:
