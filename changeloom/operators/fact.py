@@ -8,6 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.decimals import MONEY, line_amount
+from ..sources.workspace import written
 from .asof import BEGINNING, first_versions, resolve_asof, resolve_small, small_history
 from .calendar import flag_dates
 from .constraints import accepted, rejected
@@ -98,29 +99,33 @@ def resolve_lines(
     unit price of the line. Unknown members leave ``customer`` or ``product`` null.
 
     Inputs of up to ``one_task_bytes`` are resolved in one plan. For larger ones the history is
-    looked at first: a small one is broadcast, else hot keys are found and split.
+    looked at first: a small one is broadcast, else the lines are written to the shared folder,
+    and hot keys are found and split.
     """
     if price_mode not in ("reference", "consistent"):
         raise ValueError(f"unknown price_mode {price_mode!r}")
-    staged = lines
+    stored = False
 
-    def resolved(versions: DataFrame, key: str, probes: dict[str, dict[str, str]]) -> DataFrame:
+    def resolved(lines: DataFrame, versions: DataFrame, key: str, probes: dict[str, dict[str, str]]) -> DataFrame:
+        nonlocal stored
         hot = None
-        if input_bytes(staged) + input_bytes(versions) > one_task_bytes:
+        if input_bytes(lines) + input_bytes(versions) > one_task_bytes:
             small = small_history(versions, key, "from_seq")
             if small is not None:
                 return resolve_small(lines, small, key, "from_seq", probes)
-            hot = hot_keys(versions, key, "from_seq", staged)
+            if not stored:  # counting keys shall not compute the staging join over and over
+                lines, stored = written(lines, "lines"), True
+            hot = hot_keys(versions, key, "from_seq", lines)
         return resolve_asof(lines, versions, key, "from_seq", probes, ["order_item_id"], hot)
 
     customers = members(customer_changes, "customer_id", [], customer_source)
-    lines = resolved(customers, "customer_id", {"first_at": {"customer": "surrogate"}})
+    lines = resolved(lines, customers, "customer_id", {"first_at": {"customer": "surrogate"}})
 
     products = members(product_changes, "product_id", ["unity_price"], product_source)
     probes = {"first_at": {"product": "surrogate", "unity_price": "unity_price"}}
     if price_mode == "reference":
         probes["last_at"] = {"_last_price": "unity_price"}
-    lines = resolved(products, "product_id", probes)
+    lines = resolved(lines, products, "product_id", probes)
 
     paid = "_last_price" if price_mode == "reference" else "unity_price"
     return (

@@ -29,6 +29,14 @@ def from_log(log: DataFrame, strict_zero: bool = False) -> ChangeTables:
     return ChangeTables(*[events(log, table, strict_zero) for table in ChangeTables._fields])
 
 
+def stored(changes: ChangeTables, path: str) -> ChangeTables:
+    """The decoded events written as one table each: everything after reads columns, not JSON."""
+    spark = changes.orders.sparkSession
+    for name, rows in zip(ChangeTables._fields, changes):
+        rows.write.mode("overwrite").parquet(f"{path}/{name}")
+    return ChangeTables(*[spark.read.parquet(f"{path}/{name}") for name in ChangeTables._fields])
+
+
 def dimension(
     changes: DataFrame,
     key: str,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def workspace(spark: SparkSession, purpose: str) -> str:
@@ -19,3 +19,13 @@ def workspace(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="changeloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the shared folder, for what is used several times.
+
+    Unlike cached blocks, it outlives the executors that computed it.
+    """
+    path = workspace(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
