@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F, types as T
 
 MONEY = T.DecimalType(13, 5)
-_WIRE = T.StructType([T.StructField("scale", T.IntegerType()), T.StructField("value", T.StringType())])
+_WIRE = T.StructType(
+    [T.StructField("scale", T.IntegerType()), T.StructField("value", T.StringType())]
+)
 
 
 def _unscaled(base64_text: Column) -> Column:

@@ -106,7 +106,9 @@ def resolve_lines(
         raise ValueError(f"unknown price_mode {price_mode!r}")
     stored = False
 
-    def resolved(lines: DataFrame, versions: DataFrame, key: str, probes: dict[str, dict[str, str]]) -> DataFrame:
+    def resolved(
+        lines: DataFrame, versions: DataFrame, key: str, probes: dict[str, dict[str, str]]
+    ) -> DataFrame:
         nonlocal stored
         hot = None
         if input_bytes(lines) + input_bytes(versions) > one_task_bytes:

@@ -216,12 +216,23 @@ def log(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = _message(
         order_events(spark, sf_dir),
         "orders",
-        [F.col("order_id"), F.col("customer_id"), epoch("order_date"), epoch("delivery_date"), F.col("status")],
+        [
+            F.col("order_id"),
+            F.col("customer_id"),
+            epoch("order_date"),
+            epoch("delivery_date"),
+            F.col("status"),
+        ],
     )
     items = _message(
         item_events(spark, sf_dir),
         "order_items",
-        [F.col("order_item_id"), F.col("order_id"), F.col("product_id"), F.col("quantity").alias("quanity")],
+        [
+            F.col("order_item_id"),
+            F.col("order_id"),
+            F.col("product_id"),
+            F.col("quantity").alias("quanity"),
+        ],
     )
     customers = _message(
         customer_changes(spark, sf_dir),

@@ -22,9 +22,19 @@ from ..operators.state import item_state, order_state
 
 NO_DATE = 0
 
-_ORDER = "first_seq LONG, customer_id LONG, order_date INT, created_at TIMESTAMP, last_seq LONG, status STRING, delivery_seq LONG, delivery_date INT, updated_at TIMESTAMP"
-_ITEM = "first_seq LONG, product_id LONG, created_at TIMESTAMP, last_seq LONG, quantity INT, updated_at TIMESTAMP"
-_OUT = "order_id LONG, order_item_id LONG, customer_id LONG, product_id LONG, order_date INT, delivery_date INT, status STRING, quantity INT, first_at LONG, last_at LONG, created_at TIMESTAMP, updated_at TIMESTAMP"
+_ORDER = (
+    "first_seq LONG, customer_id LONG, order_date INT, created_at TIMESTAMP, last_seq LONG, "
+    "status STRING, delivery_seq LONG, delivery_date INT, updated_at TIMESTAMP"
+)
+_ITEM = (
+    "first_seq LONG, product_id LONG, created_at TIMESTAMP, last_seq LONG, quantity INT, "
+    "updated_at TIMESTAMP"
+)
+_OUT = (
+    "order_id LONG, order_item_id LONG, customer_id LONG, product_id LONG, order_date INT, "
+    "delivery_date INT, status STRING, quantity INT, first_at LONG, last_at LONG, "
+    "created_at TIMESTAMP, updated_at TIMESTAMP"
+)
 
 
 def _merged(old: dict | None, new: dict, *groups: tuple[tuple[str, ...], bool]) -> dict:
