@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_crf
+from . import language_crf, phrase_dedup, signature_join
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,3 +34,15 @@ def op9_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_crf.identify(rows, model).select(
         "doc_id", language_crf.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
     )
+
+
+@query
+def op4_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return signature_join.similarity_components(table(spark, sf_dir, "documents"), width=4, percent=85).select(
+        "doc_id", "n_shingles", "component_id"
+    )
+
+
+@query
+def op3_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_dedup.removals(table(spark, sf_dir, "documents"), length=50)
