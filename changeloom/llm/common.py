@@ -90,6 +90,12 @@ def runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(change)
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of several spans, one after the other."""
+    ends = np.cumsum(sizes)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
+
+
 def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     """``(node, comp)``: the smallest node that each node of ``edges(a, b)`` reaches.
 

@@ -32,11 +32,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import zstandard
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from ..sources.workspace import written
 from . import textbytes
-from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, runs, text_bytes, unbucketed
+from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, runs, spread, text_bytes, unbucketed
 
 GRAM = 16
 #: A trigger comes once in about this many bytes.
@@ -182,7 +182,7 @@ def _live(triggers: DataFrame) -> DataFrame:
     return triggers.filter("bucket is not null").select("bucket", "blob").groupBy("bucket").applyInArrow(find, LIVE_DDL)
 
 
-def _packed(docs: DataFrame) -> DataFrame:
+def _packed(docs: DataFrame, *carry: str) -> DataFrame:
     """``doc_id, tag, packed``: texts compressed for the shuffles. ``tag`` tells rows of one id apart."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,11 +196,14 @@ def _packed(docs: DataFrame) -> DataFrame:
                         batch.column(0).slice(lo, hi - lo),
                         pa.array([zlib.crc32(t) for t in texts], pa.int64()),
                         pa.array([press.compress(t) for t in texts], pa.binary()),
+                        batch.column(2).slice(lo, hi - lo),
                     ],
-                    names=["doc_id", "tag", "packed"],
+                    names=["doc_id", "tag", "packed", "carried"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(pack, "doc_id long, tag long, packed binary")
+    rows = docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *carry).alias("carried"))
+    schema = T.StructType.fromDDL("doc_id long, tag long, packed binary").add("carried", rows.schema["carried"].dataType)
+    return rows.mapInArrow(pack, schema)
 
 
 def _unpacked(column: pa.Array) -> list[bytes]:
@@ -234,12 +237,6 @@ def _entries(blob: pa.Buffer) -> tuple[np.ndarray, ...]:
     return (*out, np.frombuffer(blob, np.uint8, offset=at))
 
 
-def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
-    """Places of several spans, one after the other."""
-    ends = np.cumsum(sizes)
-    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - sizes), sizes)
-
-
 def _phrases(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     """``(doc_id, tag, packed, at)`` -> phrases at the places, packed by bucket, and ranges that are repeated for sure."""
 
@@ -264,7 +261,7 @@ def _phrases(texts: DataFrame, length: int, buckets: int) -> DataFrame:
         for lo, hi in zip(cuts, cuts[1:]):
             own = sent[lo:hi]
             ids.append(int(bucket[lo]))
-            blobs.append(_entry_blob(h[own], owner[own], tag[own], first[own], count[own], data[_spread(starts[own], sizes[own])].tobytes()))
+            blobs.append(_entry_blob(h[own], owner[own], tag[own], first[own], count[own], data[spread(starts[own], sizes[own])].tobytes()))
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(ids, pa.int32()), pa.array(blobs, pa.binary()),
@@ -298,7 +295,7 @@ def _phrases(texts: DataFrame, length: int, buckets: int) -> DataFrame:
                     sizes = count + (length - 1)
                     for part, value in zip(parts, (
                         h, textbytes.span_hashes(data, first, first + sizes), ids[lo + row], tags[lo + row],
-                        first - offsets[row], count, data[_spread(first, sizes)],
+                        first - offsets[row], count, data[spread(first, sizes)],
                     )):
                         part.append(value)
                     held += len(row)
@@ -332,7 +329,7 @@ def repeats(h, name, owner, first, count, data, length: int) -> tuple[np.ndarray
     if len(entry):
         at = order[heads[entry]]
         own = np.repeat(np.arange(len(entry)), count[at])
-        suffix = _spread(starts[at], count[at].astype(np.int64))
+        suffix = spread(starts[at], count[at].astype(np.int64))
         strings = np.empty((len(suffix), length), dtype=np.uint8)
         for lo in range(0, len(suffix), 65536):
             strings[lo : lo + 65536] = data[suffix[lo : lo + 65536, None] + np.arange(length)]
@@ -347,7 +344,7 @@ def repeats(h, name, owner, first, count, data, length: int) -> tuple[np.ndarray
             # Every row of the entry that is in its smallest document has the string at the same place.
             e, inside = own[hit], suffix[hit] - starts[at][own[hit]]
             equal = np.add.reduceat((owner_ == least).astype(np.int64), heads)[entry][e]
-            rows = order[_spread(heads[entry][e], equal)]
+            rows = order[spread(heads[entry][e], equal)]
             begin = first[rows] + np.repeat(inside, equal)
             found.append((rows, begin, begin + length))
     return tuple(np.concatenate(x) for x in zip(*found))
@@ -367,13 +364,17 @@ def _dictionary(phrases: DataFrame, length: int) -> DataFrame:
     return phrases.filter("bucket is not null").select("bucket", "blob").groupBy("bucket").applyInArrow(find, RANGE_DDL)
 
 
-def cut(docs: DataFrame, length: int = 50) -> DataFrame:
-    """``doc_id, text_bytes, kept, spans`` of each row: the text, what is left of it, and the removed ranges in order."""
+def cut(docs: DataFrame, length: int = 50, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
+    """``doc_id, text_bytes, kept, spans, kept_text, carried``: the text, what is left of it, and the removed ranges in order.
+
+    ``kept_text``, if asked for, leaves out characters that lost a byte. ``carried`` is a struct
+    that holds the columns named in ``carry``.
+    """
     buckets = max(1, text_bytes(docs) // (TRIGGER_BYTES * KEYS_PER_BUCKET) + 1)
     triggers = written(_triggers(docs, length, buckets), "triggers")
     live = triggers.filter("doc_id is not null").select("doc_id", "at").unionByName(_live(triggers))
     live = live.groupBy("doc_id").agg(F.flatten(F.collect_list("at")).alias("at"))
-    phrases = written(_phrases(_packed(docs).join(live, "doc_id"), length, buckets), "phrases")
+    phrases = written(_phrases(_packed(docs).drop("carried").join(live, "doc_id"), length, buckets), "phrases")
     ranges = phrases.filter("bucket is null").select("doc_id", "tag", "first", "end").unionByName(_dictionary(phrases, length))
     ranges = ranges.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("first", "end")).alias("ranges"))
 
@@ -400,12 +401,14 @@ def cut(docs: DataFrame, length: int = 50) -> DataFrame:
                 [pa.array(np.concatenate(x) if x else np.zeros(0, np.int32), pa.int32()) for x in (firsts, ends)], names=["first", "end"]
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(texts, pa.binary()), pa.array(kept, pa.binary()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat)],
-                names=["doc_id", "text_bytes", "kept", "spans"],
+                [batch.column(0), pa.array(texts, pa.binary()), pa.array(kept, pa.binary()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), flat),
+                 pa.array([k.decode("utf-8", "ignore") if as_text else None for k in kept], pa.string()), batch.column(3)],
+                names=["doc_id", "text_bytes", "kept", "spans", "kept_text", "carried"],
             )
 
-    joined = _packed(docs).join(ranges, ["doc_id", "tag"], "left").select("doc_id", "packed", "ranges")
-    return joined.mapInArrow(apply, "doc_id long, text_bytes binary, kept binary, spans array<struct<first:int,end:int>>")
+    joined = _packed(docs, *carry).join(ranges, ["doc_id", "tag"], "left").select("doc_id", "packed", "ranges", "carried")
+    schema = T.StructType.fromDDL("doc_id long, text_bytes binary, kept binary, spans array<struct<first:int,end:int>>, kept_text string")
+    return joined.mapInArrow(apply, schema.add("carried", joined.schema["carried"].dataType))
 
 
 def removals(docs: DataFrame, length: int = 50) -> DataFrame:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_crf, phrase_dedup, signature_join
+from . import language_crf, phrase_dedup, piece_viterbi, signature_join, source_mix
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,7 +24,7 @@ def registered() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    return {}
+    return {"op8_source_mix": source_mix.ORACLE}
 
 
 @query
@@ -46,3 +47,17 @@ def op4_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_dedup.removals(table(spark, sf_dir, "documents"), length=50)
+
+
+@query
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3.0, seed=7)
+
+
+@query
+def op7_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = piece_viterbi.load(public_tokenizers.path("piece_bpe_32k.model"))
+    ids = piece_viterbi.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), pieces)
+    return piece_viterbi.decode(ids, pieces).select(
+        "doc_id", "n_pieces", "n_fallback", "ids", F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("comes_back")
+    )

@@ -1,12 +1,25 @@
-"""The stages of the corpus pipeline. Each takes ``(spark, docs, sf_dir)`` and returns documents."""
+"""The stages of the corpus pipeline. Each takes ``(spark, docs, sf_dir)`` and returns documents.
+
+The first ones return the columns of ``docs``. A row without id stays in every stage that goes by
+ids; it is in no group and repeats nothing.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from . import language_crf
+from ..sources.workspace import written
+from . import language_crf, phrase_dedup, piece_viterbi, signature_join, source_mix
 
+#: Of four languages, a word that fits all alike has a quarter each.
 LEAST_LANGUAGE_SCORE = 0.3
+SHINGLE_WORDS = 5
+LEAST_SIMILARITY_PERCENT = 80
+REPEATED_BYTES = 50
+SOURCE_WEIGHTS = (5, 2, 1)
+MOST_REPEATS = 3.0
+PIECES_FILE = "piece_bpe_32k.model"
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,3 +27,43 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = language_crf.fit(docs)
     out = language_crf.identify(docs, model, lang_out="_lang", score_out="_score")
     return out.filter((F.col("_lang") != language_crf.UND) & (F.col("_score") >= LEAST_LANGUAGE_SCORE)).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each group of near copies, and one row of each id."""
+    comps = written(signature_join.similarity_components(docs, SHINGLE_WORDS, LEAST_SIMILARITY_PERCENT), "groups")
+    later = comps.filter("component_id < doc_id").select("doc_id").distinct()
+    kept = docs.join(later, "doc_id", "left_anti")
+    repeated = comps.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept.select(*docs.columns)
+    own = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns if c != "doc_id"])
+    one = kept.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(own)).filter("_row = 1")
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts what a document with a smaller id has already said. Characters of which a byte goes, go; blank rests are dropped."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    out = phrase_dedup.cut(docs, REPEATED_BYTES, others, as_text=True)
+    changed = F.size("spans") > 0
+    columns = {c: F.col(f"carried.`{c}`") for c in others} | {"doc_id": F.col("doc_id")}
+    columns["text"] = F.when(changed, F.col("kept_text")).otherwise(F.col("text_bytes").cast("string"))
+    if "n_chars" in columns:
+        columns["n_chars"] = F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
+    left = out.filter(~changed | (F.trim(F.translate("kept_text", "\t\n\r", "   ")) != ""))
+    return left.select(*[columns[c].alias(c) for c in docs.columns])
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix reads it, to the nearest whole number; documents that it does not reach go."""
+    taken = source_mix.mix(docs, SOURCE_WEIGHTS, MOST_REPEATS).groupBy(F.col("doc_id").alias("_id")).agg(
+        F.floor(F.sum("taken") / F.sum("size") + 0.5).alias("_times")
+    )
+    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id"))).filter("_times > 0")
+    return rows.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document."""
+    return piece_viterbi.encode(docs, piece_viterbi.load(public_tokenizers.path(PIECES_FILE)))

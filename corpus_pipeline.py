@@ -9,6 +9,10 @@ from changeloom.sources.workspace import written
 
 STAGES = [
     ("language", stages.language),
+    ("near_duplicates", stages.near_duplicates),
+    ("repeated_passages", stages.repeated_passages),
+    ("mixture", stages.mixture),
+    ("pieces", stages.pieces),
 ]
 
 # Trained models, suffix order and pieces are beyond SQL; tests compare with brute force.
