@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_crf, phrase_dedup, piece_viterbi, signature_join, source_mix
+from . import language_crf, phrase_dedup, piece_viterbi, signature_join, source_mix, token_counts, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +24,7 @@ def registered() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    return {"op8_source_mix": source_mix.ORACLE}
+    return {"op5_warc": warc.ORACLE, "op8_source_mix": source_mix.ORACLE}
 
 
 @query
@@ -61,3 +61,14 @@ def op7_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_viterbi.decode(ids, pieces).select(
         "doc_id", "n_pieces", "n_fallback", "ids", F.col("decoded").eqNullSafe(F.coalesce("text", F.lit(""))).alias("comes_back")
     )
+
+
+@query
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), path).withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
+@query
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
