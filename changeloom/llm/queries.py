@@ -7,7 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_crf, phrase_dedup, piece_viterbi, signature_join, source_mix, token_counts, warc
+from . import (
+    ann_postings,
+    language_crf,
+    phrase_dedup,
+    piece_viterbi,
+    signature_join,
+    source_mix,
+    token_counts,
+    topk_histogram,
+    warc,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,7 +34,7 @@ def registered() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    return {"op5_warc": warc.ORACLE, "op8_source_mix": source_mix.ORACLE}
+    return {"op5_warc": warc.ORACLE, "op6_topk_histogram": topk_histogram.ORACLE, "op8_source_mix": source_mix.ORACLE}
 
 
 @query
@@ -72,3 +82,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query
+def op2_ann_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_postings.nearest(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
+@query
+def op6_topk_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_histogram.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256.0)
