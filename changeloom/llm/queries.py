@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from . import (
     ann_postings,
     language_crf,
+    ordinal_quality,
     phrase_dedup,
     piece_viterbi,
     signature_join,
@@ -92,3 +93,12 @@ def op2_ann_postings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_topk_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_histogram.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256.0)
+
+
+@query
+def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = ordinal_quality.fit(docs, table(spark, sf_dir, "labels"))
+    return ordinal_quality.rate(docs.select("doc_id", "text"), model).select(
+        "doc_id", "expected_grade", "p_acceptable", "p_good", "grade", (F.col("p_good") >= 0.5).alias("selected")
+    )
