@@ -1,23 +1,18 @@
 """Point-in-time resolution: the version of a key that was valid at a position.
 
-A history that was counted and found small is broadcast with its validity intervals, so the facts
-stay where they are. Otherwise both sides are put into one DataFrame, which is shuffled by the
-key and read in order; the last version seen is the valid one. That costs time linear in facts
-plus versions, whatever the number of versions per key.
+Both sides are put into one DataFrame, which is shuffled by the key and read in order; the last
+version seen is the valid one. That costs time linear in facts plus versions, whatever the number
+of versions per key. Rows of hot keys (``skew``) go the same way by slices and salts of their key.
 """
 
 from __future__ import annotations
 
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .skew import SALTS, input_bytes, slice_of
+from ..sources.workspace import written
+from .skew import ROWS_PER_TASK, hot_keys, salts_of, slice_of
 
 BEGINNING = -(2**63)
-# Bounds of a history that is broadcast: its inputs, its rows, and the versions of a key.
-BROADCAST_INPUT_BYTES = 256 << 20
-BROADCAST_ROWS = 500_000
-BROADCAST_VERSIONS = 64
 
 
 def first_versions(versions: DataFrame, key: str, order: str) -> DataFrame:
@@ -63,80 +58,25 @@ def _resolve_together(
     return both.filter(F.col("_is_fact") == 1).select(*facts.columns, *resolved)
 
 
-def small_history(versions: DataFrame, key: str, order: str) -> DataFrame | None:
-    """The validity intervals of ``versions`` as a local table, or None if they are not small.
+def _split_versions(versions: DataFrame, hot: DataFrame, salts: DataFrame, key: str, order: str) -> DataFrame:
+    """Versions of hot keys with ``_slice`` and ``_salt``.
 
-    Tried only if the planner knows the inputs to be small. At most ``BROADCAST_ROWS`` rows come
-    to the driver; the number of versions per key bounds what each fact is compared with.
-    """
-    if input_bytes(versions) > BROADCAST_INPUT_BYTES:
-        return None
-    later = Window.partitionBy(key).orderBy(order)
-    intervals = versions.dropDuplicates([key, order]).withColumn("_to", F.lead(order).over(later))
-    table = intervals.limit(BROADCAST_ROWS + 1).toArrow()
-    if table.num_rows > BROADCAST_ROWS:
-        return None
-    per_key = table.group_by(key).aggregate([(order, "count")])[f"{order}_count"]
-    if (pc.max(per_key).as_py() or 0) > BROADCAST_VERSIONS:
-        return None
-    return versions.sparkSession.createDataFrame(table, intervals.schema)
-
-
-def resolve_small(
-    facts: DataFrame,
-    intervals: DataFrame,
-    key: str,
-    order: str,
-    probes: dict[str, dict[str, str]],
-) -> DataFrame:
-    """``resolve_asof`` by interval joins with a ``small_history``; at most one version matches."""
-    for at, columns in probes.items():
-        history = F.broadcast(
-            intervals.select(
-                F.col(key).alias("_key"),
-                F.col(order).alias("_from"),
-                "_to",
-                *[F.col(source).alias(name) for name, source in columns.items()],
-            )
-        )
-        begun = F.col("_from") <= F.col(at)
-        not_over = F.col("_to").isNull() | (F.col("_to") > F.col(at))
-        same = F.col(key) == F.col("_key")
-        facts = facts.join(history, same & begun & not_over, "left").drop("_key", "_from", "_to")
-    return facts
-
-
-def _split_versions(versions: DataFrame, hot: DataFrame, key: str, order: str, salts: int) -> DataFrame:
-    """Versions with ``_slice`` and ``_salt``.
-
-    Each slice of a hot key starts with the last version before it, so that it can be read on
-    its own; at most (hot keys) x (slices) rows are added for that. Versions of hot keys are
-    repeated for every salt of the facts.
+    Each slice starts with the last version before it, so that it can be read on its own; that adds
+    a row per slice. The versions of a slice are repeated for each of its salts.
     """
     rest = [c for c in versions.columns if c not in (key, order)]
-    own = (
-        versions.join(F.broadcast(hot), key, "left")
-        .withColumn("_slice", slice_of(F.col("bounds"), F.col(order)))
-        .withColumn("_hot", F.col("bounds").isNotNull())
-        .drop("bounds")
-    )
-    last = (
-        own.filter("_hot")
-        .groupBy(key, "_slice")
-        .agg(F.max_by(F.struct(*rest), order).alias("_v"))
-    )
+    own = versions.join(hot, key).withColumn("_slice", slice_of(F.col("bounds"), F.col(order))).drop("bounds")
+    last = own.groupBy(key, "_slice").agg(F.max_by(F.struct(*rest), order).alias("_v"))
     slices = hot.select(key, F.explode(F.sequence(F.lit(0), F.size("bounds"))).alias("_slice"))
     before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         slices.join(last, [key, "_slice"], "left")
         .withColumn("_v", F.last("_v", ignorenulls=True).over(before))
         .filter(F.col("_v").isNotNull())
-        .select(
-            key, F.lit(BEGINNING).alias(order), "_v.*", "_slice", F.lit(True).alias("_hot")
-        )
+        .select(key, F.lit(BEGINNING).alias(order), "_v.*", "_slice")
     )
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return own.unionByName(carried).withColumn("_salt", F.explode(copies)).drop("_hot")
+    copies = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
+    return own.unionByName(carried).join(salts, [key, "_slice"]).withColumn("_salt", copies).drop("salts")
 
 
 def resolve_asof(
@@ -146,30 +86,35 @@ def resolve_asof(
     order: str,
     probes: dict[str, dict[str, str]],
     salt_by: list[str] | None = None,
-    hot: DataFrame | None = None,
-    salts: int = SALTS,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add to each fact columns of the version of ``key`` that is valid at a position.
 
     ``probes`` maps a position column of the facts to ``{new column: version column}``. The
     valid version is the one with the greatest ``order`` not above the position; without one
-    the new columns are null. ``hot`` (see ``skew.hot_keys``) splits hot keys into slices and
-    ``salt_by`` spreads the facts within a slice.
+    the new columns are null. Keys are counted first, so ``facts`` and ``versions`` are best stored tables.
+    Facts of a hot key are dealt by a hash of ``salt_by``.
     """
+    hot = hot_keys(versions, key, order, facts, rows_per_task)
     if hot is None:
         return _resolve_together(facts, versions, key, order, probes, [key])
-    split = _split_versions(versions, hot, key, order, salts)
-    columns = facts.columns
-    spread = F.pmod(F.xxhash64(*(salt_by or columns)), F.lit(salts)).cast("int")
+    only = hot.select(key)
+    cold = _resolve_together(
+        facts.join(only, key, "left_anti"), versions.join(only, key, "left_anti"), key, order, probes, [key]
+    )
+    part, columns = facts.join(only, key, "left_semi"), facts.columns
     for at, wanted in probes.items():
+        salts = written(salts_of(part, hot, key, at, rows_per_task), "salts")
+        spread = F.pmod(F.xxhash64(*(salt_by or facts.columns)), F.col("salts")).cast("int")
         placed = (
-            facts.join(F.broadcast(hot), key, "left")
+            part.join(hot, key)
             .withColumn("_slice", slice_of(F.col("bounds"), F.col(at)))
-            .withColumn("_salt", F.when(F.col("bounds").isNull(), F.lit(0)).otherwise(spread))
             .drop("bounds")
+            .join(salts, [key, "_slice"])
+            .withColumn("_salt", spread)
+            .drop("salts")
         )
-        group = [key, "_slice", "_salt"]
-        facts = _resolve_together(placed, split, key, order, {at: wanted}, group)
+        split = _split_versions(versions, hot, salts, key, order)
         columns = [*columns, *wanted]
-        facts = facts.select(*columns)
-    return facts
+        part = _resolve_together(placed, split, key, order, {at: wanted}, [key, "_slice", "_salt"]).select(*columns)
+    return cold.select(*columns).unionByName(part)

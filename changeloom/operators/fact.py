@@ -9,10 +9,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.decimals import MONEY, line_amount
 from ..sources.workspace import written
-from .asof import BEGINNING, first_versions, resolve_asof, resolve_small, small_history
+from .asof import BEGINNING, first_versions, resolve_asof
 from .calendar import flag_dates
 from .constraints import accepted, rejected
-from .skew import ONE_TASK_BYTES, hot_keys, input_bytes
+from .skew import ROWS_PER_TASK
 from .surrogate import inferred_key
 
 FACT_COLUMNS = (
@@ -83,47 +83,85 @@ def members(
     return rows.unionByName(inferred)
 
 
+class Moves(NamedTuple):
+    """When orders and items were touched: ``order_id, seq, ts`` and ``order_item_id, seq, ts``."""
+
+    orders: DataFrame
+    items: DataFrame
+
+
+def moves(order_events: DataFrame, item_events: DataFrame) -> Moves:
+    return Moves(order_events.select("order_id", "seq", "ts"), item_events.select("order_item_id", "seq", "ts"))
+
+
+def settle(lines: DataFrame, customers: DataFrame, products: DataFrame, touched: Moves, rows_per_task: int) -> DataFrame:
+    """Lines with ``first_at`` and ``created_at`` where both members are known.
+
+    A line whose member is unknown when its sides meet is tried again at every later event of
+    its order or item. So it comes to be at the first such event at or after the first version of
+    each member. A line that never gets there stays as it is, and unresolved.
+    """
+    never = F.lit(2**63 - 1)
+
+    def first(members: DataFrame, key: str, name: str) -> DataFrame:
+        return members.groupBy(key).agg(F.min("from_seq").alias(name))
+
+    need = F.greatest("first_at", F.coalesce("_customer", never), F.coalesce("_product", never))
+    late = (
+        lines.select("order_item_id", "order_id", "customer_id", "product_id", "first_at")
+        .join(first(customers, "customer_id", "_customer"), "customer_id", "left")
+        .join(first(products, "product_id", "_product"), "product_id", "left")
+        .withColumn("_need", need)
+        .filter((F.col("_need") > F.col("first_at")) & (F.col("_need") < never))
+        .select("order_item_id", "order_id", (-F.col("_need")).alias("_back"))
+    )
+    late = written(late, "late")
+    if late.isEmpty():
+        return lines
+    # The first event from a position on is the last one before it when the order is turned around.
+    for table, key, name in ((touched.orders, "order_id", "_o"), (touched.items, "order_item_id", "_i")):
+        own = table.join(late.select(key).distinct(), key, "left_semi")
+        turned = own.select(key, (-F.col("seq")).alias("_at"), F.struct("seq", "ts").alias("_move"))
+        late = resolve_asof(late, turned, key, "_at", {"_back": {name: "_move"}}, ["order_item_id"], rows_per_task)
+    settled = late.select("order_item_id", F.least("_o", "_i").alias("_settled"))
+    settled = written(settled.filter("_settled is not null"), "settled")
+    return (
+        lines.join(settled, "order_item_id", "left")
+        .withColumn("first_at", F.coalesce("_settled.seq", "first_at"))
+        .withColumn("created_at", F.coalesce("_settled.ts", "created_at"))
+        .drop("_settled")
+    )
+
+
 def resolve_lines(
     lines: DataFrame,
     customer_changes: DataFrame,
     product_changes: DataFrame,
+    touched: Moves,
     customer_source: DataFrame | None = None,
     product_source: DataFrame | None = None,
     price_mode: str = "reference",
-    one_task_bytes: int = ONE_TASK_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Lines with ``customer``, ``product``, ``unity_price`` and ``total_amount``.
 
-    Members and unit price are those valid at ``first_at`` and stay so. With ``price_mode``
-    "reference" the total follows the price at ``last_at``; with "consistent" it follows the
-    unit price of the line. Unknown members leave ``customer`` or ``product`` null.
+    Members and unit price are those valid where the line came to be (``settle``) and stay so. With
+    ``price_mode`` "reference" the total follows the price at ``last_at``; with "consistent" it
+    follows the unit price of the line. Members that never become known leave ``customer`` or
+    ``product`` null.
 
-    Inputs of up to ``one_task_bytes`` are resolved in one plan. For larger ones the history is
-    looked at first: a small one is broadcast, else the lines are written to the shared folder,
-    and hot keys are found and split.
+    The lines are stored first, as they are counted by key and read more than once.
     """
     if price_mode not in ("reference", "consistent"):
         raise ValueError(f"unknown price_mode {price_mode!r}")
-    stored = False
-
-    def resolved(
-        lines: DataFrame, versions: DataFrame, key: str, probes: dict[str, dict[str, str]]
-    ) -> DataFrame:
-        nonlocal stored
-        hot = None
-        if input_bytes(lines) + input_bytes(versions) > one_task_bytes:
-            small = small_history(versions, key, "from_seq")
-            if small is not None:
-                return resolve_small(lines, small, key, "from_seq", probes)
-            if not stored:  # counting keys shall not compute the staging join over and over
-                lines, stored = written(lines, "lines"), True
-            hot = hot_keys(versions, key, "from_seq", lines)
-        return resolve_asof(lines, versions, key, "from_seq", probes, ["order_item_id"], hot)
-
     customers = members(customer_changes, "customer_id", [], customer_source)
-    lines = resolved(lines, customers, "customer_id", {"first_at": {"customer": "surrogate"}})
-
     products = members(product_changes, "product_id", ["unity_price"], product_source)
+    lines = settle(written(lines, "lines"), customers, products, touched, rows_per_task)
+
+    def resolved(rows: DataFrame, versions: DataFrame, key: str, probes: dict[str, dict[str, str]]) -> DataFrame:
+        return resolve_asof(rows, versions, key, "from_seq", probes, ["order_item_id"], rows_per_task)
+
+    lines = resolved(lines, customers, "customer_id", {"first_at": {"customer": "surrogate"}})
     probes = {"first_at": {"product": "surrogate", "unity_price": "unity_price"}}
     if price_mode == "reference":
         probes["last_at"] = {"_last_price": "unity_price"}

@@ -1,40 +1,32 @@
 """Hot keys: finding them, and splitting their rows over many tasks.
 
-A window over a key puts all rows of the key into one task. Where one key may hold a large share
-of the rows, its rows are split by *slices* of the event order (so that each slice has about the
-same number of versions) and, where rows may also share one position, by *salts*.
-
-A hot key is one with more than ``share`` of all rows, so there are at most ``1 / share`` of
-them: the table of hot keys has a proven size and is broadcast.
+A window over a key puts all rows of the key into one task. A key with more than
+``ROWS_PER_TASK`` rows is hot, at any size of the whole. Its versions are cut into *slices* of their order,
+as many as their number asks for, and the facts of a slice are dealt to *salts*, as many as
+they ask for. So no task gets more than about that many rows of one key, whatever the key's
+share, and nothing is split that one task can hold.
+
+How many keys are hot follows the data (at most rows / ``ROWS_PER_TASK``), so their table is stored and
+joined like any other: the planner broadcasts it when its size says so.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-
-# Up to this size a whole input may go through one task, so no key can be too hot for it.
-ONE_TASK_BYTES = 1 << 30
-SHARE = 1 / 64
-SLICES = 32
-SALTS = 32
+from pyspark.sql import Column, DataFrame, functions as F
 
+from ..sources.workspace import written
 
-def input_bytes(df: DataFrame) -> int:
-    """Size of all inputs that the optimized plan reads, as the planner's statistics have it."""
-    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+#: Rows of one key that a task may have to hold at once.
+ROWS_PER_TASK = 1_000_000
+#: Quantiles taken of a hot key's order; a key gets at most as many slices.
+STEPS = 1024
+# A task's rows are versions of a slice and facts of a salt; quantiles and hashes are not exact.
+_SLACK = 4
 
 
-def _keys_over_share(df: DataFrame, key: str, share: float) -> set:
-    """The keys, at most ``1 / share`` of them, with more than ``share`` of the rows of ``df``."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    largest = counts.orderBy(F.desc("n")).limit(math.floor(1 / share)).collect()
-    if not largest:
-        return set()
-    total = df.count()
-    return {row[key] for row in largest if row[key] is not None and row["n"] > total * share}
+def _over(df: DataFrame, key: str, name: str, rows_per_task: int) -> DataFrame:
+    counts = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    return counts.filter(F.col(name) > rows_per_task)
 
 
 def hot_keys(
@@ -42,42 +34,33 @@ def hot_keys(
     key: str,
     order: str,
     facts: DataFrame | None = None,
-    share: float = SHARE,
-    slices: int = SLICES,
-) -> DataFrame:
-    """``key, bounds``: keys hot among ``versions`` (or ``facts``) and the slice bounds of each.
-
-    The bounds are quantiles of the key's own version order. The result is found out at once and
-    is a local table of at most ``2 / share`` rows.
-    """
-    spark = versions.sparkSession
-    hot = _keys_over_share(versions, key, share)
-    if facts is not None:
-        hot |= _keys_over_share(facts, key, share)
-    steps = [i / slices for i in range(1, slices)]
-    bounds = (
-        versions.filter(F.col(key).isin(*hot))
-        .groupBy(key)
-        .agg(F.percentile_approx(order, steps).alias("bounds"))
-        .collect()
-        if hot
-        else []
-    )
-    known = {row[key]: row["bounds"] for row in bounds}
-    schema = T.StructType(
-        [versions.schema[key], T.StructField("bounds", T.ArrayType(T.LongType()), False)]
-    )
-    return spark.createDataFrame([(k, known.get(k, [])) for k in sorted(hot)], schema)
-
-
-def hot_keys_if_large(
-    rows: DataFrame, key: str, order: str, one_task_bytes: int = ONE_TASK_BYTES
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame | None:
-    """Hot keys, or None where the input is small enough for any one task."""
-    return hot_keys(rows, key, order) if input_bytes(rows) > one_task_bytes else None
+    """``key, bounds``: keys hot among ``versions`` or ``facts``, and the bounds of the slices of each; None without any."""
+    hot = _over(versions, key, "n_versions", rows_per_task)
+    if facts is not None:
+        hot = hot.join(_over(facts, key, "n_facts", rows_per_task), key, "full_outer")
+    hot = written(hot.select(key, F.coalesce("n_versions", F.lit(0)).alias("n")), "hot")
+    if hot.isEmpty():
+        return None
+    steps = [i / STEPS for i in range(1, STEPS)]
+    own = versions.join(hot.filter("n > 0").select(key, "n"), key)
+    cuts = own.groupBy(key, "n").agg(F.percentile_approx(order, steps).alias("all"))
+    slices = F.least(F.ceil(F.col("n") * _SLACK / rows_per_task), F.lit(STEPS))
+    every = F.expr("transform(sequence(1L, slices - 1), i -> all[cast(i * %d div slices as int) - 1])" % STEPS)
+    cuts = cuts.withColumn("slices", slices).select(key, F.array_distinct(every).alias("bounds"))
+    nothing = F.array().cast("array<bigint>")
+    return written(hot.join(cuts, key, "left").select(key, F.coalesce("bounds", nothing).alias("bounds")), "hot")
 
 
 def slice_of(bounds: Column, at: Column) -> Column:
     """Number of the slice that position ``at`` is in; 0 where there are no bounds."""
     passed = F.size(F.filter(bounds, lambda bound: bound <= at))
     return F.when(bounds.isNull(), F.lit(0)).otherwise(passed)
+
+
+def salts_of(facts: DataFrame, hot: DataFrame, key: str, at: str, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """``key, _slice, salts``: over how many tasks the facts of each slice of a hot key are dealt."""
+    placed = facts.join(hot, key).withColumn("_slice", slice_of(F.col("bounds"), F.col(at)))
+    counts = placed.groupBy(key, "_slice").agg(F.count(F.lit(1)).alias("n"))
+    return counts.select(key, "_slice", F.ceil(F.col("n") * _SLACK / rows_per_task).cast("int").alias("salts"))

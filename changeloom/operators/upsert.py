@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ..sources.workspace import written
 from .surrogate import dense_number
 
 
@@ -13,12 +14,13 @@ def insert_missing(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def upsert_by(
-    table: DataFrame, batch: DataFrame, key: str, id_column: str, order: str
+    table: DataFrame, batch: DataFrame, key: str, id_column: str, order: str, keep_on_null: bool = False
 ) -> DataFrame:
     """Upsert a batch by a natural key that is unique in ``table``.
 
     Of several batch rows of one key the last by ``order`` counts. A key that is there keeps its
-    id and takes the batch's non-null columns; a new key gets the next free id, by ``order``.
+    id and takes the batch's columns, null included unless ``keep_on_null``; a new key gets the
+    next free id, by ``order``. The merged rows are stored, as they are read several times.
     """
     columns = [c for c in batch.columns if c not in (key, order)]
     last = batch.groupBy(key).agg(F.max_by(F.struct(*columns, order), order).alias("_b"))
@@ -27,12 +29,17 @@ def upsert_by(
         id_column,
         key,
         *[
-            (F.coalesce(F.col("_b")[c], F.col(c)) if c in columns else F.col(c)).alias(c)
+            F.when(F.col("_b").isNotNull() & (F.lit(not keep_on_null) | F.col("_b")[c].isNotNull()), F.col("_b")[c])
+            .otherwise(F.col(c))
+            .alias(c)
+            if c in columns
+            else F.col(c)
             for c in kept
         ],
         F.col("_old").isNotNull().alias("_old"),
         F.col("_b")[order].alias("_order"),
     )
+    merged = written(merged, "merged")
     top = table.agg(F.coalesce(F.max(id_column), F.lit(0)).alias("top")).first()["top"]
     old = merged.filter("_old").drop("_old", "_order")
     new = dense_number(merged.filter("NOT _old").drop(id_column), "_order", id_column, top + 1)

@@ -78,11 +78,29 @@ _CTE = {
         SELECT product_id, seq, seq AS surrogate, unity_price FROM product_changes
         UNION ALL
         SELECT product_id, -1, min(seq), arg_min(unity_price, seq) FROM product_changes GROUP BY product_id""",
+    # A line is settled at the first event of its order or item at which both members are known.
+    "settled_lines": """
+        WITH needs AS (
+          SELECT l.order_item_id,
+                 CASE WHEN c.first IS NOT NULL AND p.first IS NOT NULL
+                      THEN greatest(l.first_at, c.first, p.first) END AS need
+          FROM lines l
+          LEFT JOIN (SELECT customer_id, min(seq) AS first FROM {c} GROUP BY 1) c USING (customer_id)
+          LEFT JOIN (SELECT product_id, min(seq) AS first FROM {p} GROUP BY 1) p USING (product_id)),
+        moves AS (
+          SELECT order_item_id, seq, ts FROM item_events
+          UNION ALL
+          SELECT i.order_item_id, e.seq, e.ts FROM staged_items i JOIN order_events e USING (order_id)),
+        settled AS (
+          SELECT n.order_item_id, min(m.seq) AS at, arg_min(m.ts, m.seq) AS ts
+          FROM needs n JOIN moves m ON m.order_item_id = n.order_item_id AND m.seq >= n.need GROUP BY 1)
+        SELECT l.* REPLACE (coalesce(s.at, l.first_at) AS first_at, coalesce(s.ts, l.created_at) AS created_at)
+        FROM lines l LEFT JOIN settled s USING (order_item_id)""",
     "resolved": """
         SELECT l.*, c.surrogate AS customer, p.surrogate AS product,
                coalesce(p.unity_price, 0)::DECIMAL(13,5) AS unity_price,
                (l.quantity * coalesce(q.unity_price, 0))::DECIMAL(13,5) AS total_amount
-        FROM lines l
+        FROM settled_lines l
         ASOF LEFT JOIN {c} c ON l.customer_id = c.customer_id AND l.first_at >= c.seq
         ASOF LEFT JOIN {p} p ON l.product_id = p.product_id AND l.first_at >= p.seq
         ASOF LEFT JOIN {p} q ON l.product_id = q.product_id AND l.{at} >= q.seq""",
@@ -113,11 +131,11 @@ _CTE = {
 _LINES = ("order_events", "item_events", "staged_orders", "staged_items", "lines")
 _FACT = (
     *_LINES, "customer_changes", "product_changes", "customer_members", "product_members",
-    "resolved", "fact",
+    "settled_lines", "resolved", "fact",
 )
 _FIRST = (
     *_LINES, "customer_changes", "product_changes", "first_customer_members",
-    "first_product_members", "resolved", "fact",
+    "first_product_members", "settled_lines", "resolved", "fact",
 )
 
 
@@ -125,7 +143,7 @@ def _with(names: tuple[str, ...], body: str, c="customer_members", p="product_me
     parts = []
     for name in names:
         text = _CTE[name]
-        if name == "resolved":
+        if name in ("settled_lines", "resolved"):
             text = text.format(c=c, p=p, at=at)
         parts.append(f"{name} AS MATERIALIZED ({text})")
     return "WITH " + ",\n".join(parts) + "\n" + body

@@ -18,6 +18,7 @@ from ..operators.calendar import build_dim_dates, flag_dates
 from ..operators.constraints import rejected
 from ..operators.surrogate import dense_number
 from ..sources import changelog
+from ..sources.workspace import written
 from . import reports, retail, star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -227,7 +228,7 @@ def reports_star_month(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = retail.changes(spark, sf_dir)
-    fact = _fact(spark, sf_dir)
+    fact = written(_fact(spark, sf_dir), "fact")
     customers = star.with_inferred(
         star.dim_customers(changes.customers), fact, retail.customer_source(spark, sf_dir),
         "customer_id", "customer", star.CUSTOMER_ATTRS,

@@ -7,7 +7,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators import fact as facts, scd2
-from ..operators.skew import ONE_TASK_BYTES, hot_keys_if_large
+from ..operators.skew import ROWS_PER_TASK
 from ..operators.state import staging_items, staging_orders
 from ..operators.surrogate import inferred_key
 from ..sources.changelog import events
@@ -43,11 +43,10 @@ def dimension(
     surrogate: str,
     attrs: list[str],
     dedup_unchanged: bool = False,
-    one_task_bytes: int = ONE_TASK_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Type-2 dimension: surrogate, natural key, attributes and validity."""
-    hot = hot_keys_if_large(changes, key, "seq", one_task_bytes)
-    rows = scd2.versions(changes, key, attrs, dedup_unchanged, hot)
+    rows = scd2.versions(changes, key, attrs, dedup_unchanged, rows_per_task)
     return rows.select(
         F.col("from_seq").alias(surrogate),
         key,
@@ -103,13 +102,13 @@ def with_inferred(
 def write_facts(fact: DataFrame, path: str) -> None:
     """Fact table by delivery month, for reports.
 
-    Ranges of (month, order) make files of even size whatever the size of a month, few files per
-    month, and keep the lines of an order together, which helps counting distinct orders.
+    Rows are dealt by month; the engine splits large months and puts small ones together by their
+    bytes, so files follow the data and the plan is not run twice for a sample of it.
     """
     month = F.floor(F.col("delivery_date") / 100).cast("int")
     (
         fact.withColumn("delivery_month", month)
-        .repartitionByRange("delivery_month", "order_id")
+        .hint("rebalance", "delivery_month")
         .write.mode("overwrite")
         .partitionBy("delivery_month")
         .parquet(path)
@@ -128,16 +127,17 @@ def build_facts(
     product_source: DataFrame | None = None,
     price_mode: str = "reference",
     keep_delivery_on_null: bool = False,
-    one_task_bytes: int = ONE_TASK_BYTES,
+    rows_per_task: int = ROWS_PER_TASK,
 ) -> facts.Facts:
     """Fact, unresolved lines and rejected lines of a whole change log."""
     resolved = facts.resolve_lines(
         build_lines(changes, keep_delivery_on_null),
         changes.customers,
         changes.products,
+        facts.moves(changes.orders, changes.order_items),
         customer_source,
         product_source,
         price_mode,
-        one_task_bytes,
+        rows_per_task,
     )
     return facts.split_facts(resolved, dim_dates)

@@ -42,6 +42,9 @@ KEPT = {
         order_item_id=_L, first_seq=_L, order_id=_L, product_id=_L, created_at=_TS,
         last_seq=_L, quantity=_I, updated_at=_TS,
     ),
+    # When each order and item was touched, for lines whose members come late.
+    "order_moves": _struct(order_id=_L, seq=_L, ts=_TS),
+    "item_moves": _struct(order_item_id=_L, seq=_L, ts=_TS),
     "quarantine": _struct(table=_S, seq=_L, value=_S, reasons=T.ArrayType(_S)),
     "lines": _struct(
         order_item_id=_L, order_id=_L, customer_id=_L, product_id=_L, order_date=_I,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -15,7 +16,7 @@ def workspace(spark: SparkSession, purpose: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="changeloom-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
@@ -28,4 +29,4 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     """
     path = workspace(df.sparkSession, purpose)
     df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 
 import world
-from changeloom.operators import asof, fact as facts, state
+from changeloom.operators import fact as facts, state
 from changeloom.operators.calendar import build_dim_dates
 from changeloom.plans import star
 from world import customer, item, order, product
@@ -24,19 +24,14 @@ def fact(spark, messages, **options):
     return world.fact_dict(build(spark, messages, **options).fact)
 
 
-def random_worlds(count=150, size=40):
+def random_worlds(count=100, size=40):
     rng = random.Random(7)
     return [m for n in range(count) for m in world.random_world(rng, 100 * (n + 1), size)]
 
 
 @pytest.mark.parametrize("price_mode", ["reference", "consistent"])
-@pytest.mark.parametrize("way", ["broadcast", "together", "split"])
-def test_equals_event_by_event_account(spark, monkeypatch, price_mode, way):
-    one_task_bytes = 1 << 30 if way == "together" else 0
-    if way == "broadcast":
-        monkeypatch.setattr(asof, "BROADCAST_VERSIONS", 10_000)
-    if way == "split":
-        monkeypatch.setattr(facts, "small_history", lambda *args: None)
+@pytest.mark.parametrize("rows_per_task", [1_000_000, 12])
+def test_equals_event_by_event_account(spark, price_mode, rows_per_task):
     messages = random_worlds()
     known = world.sources(messages)
     customers, products = world.source_frames(spark, *known)
@@ -44,13 +39,24 @@ def test_equals_event_by_event_account(spark, monkeypatch, price_mode, way):
     random.Random(1).shuffle(messages)
     got = fact(
         spark, messages, customer_source=customers, product_source=products,
-        price_mode=price_mode, one_task_bytes=one_task_bytes,
+        price_mode=price_mode, rows_per_task=rows_per_task,
     )
-    # A line whose members were unknown at first is settled later by the account; here it stays
-    # unresolved unless there is a source row. So compare where the first meeting settled it.
-    late = {i for i in expected if i not in got}
-    assert len(got) > 300
-    assert {i: r for i, r in expected.items() if i not in late} == got
+    assert len(got) > 200
+    assert got == expected
+
+
+def test_late_members_settle_a_line_at_its_next_event(spark):
+    customers, products = world.source_frames(spark, [(9, "No", "One")], [(9, "No", "9", Decimal("1.00"))])
+    known = {"customer_source": customers, "product_source": products}
+    waiting = [order(1, 1), item(2, 5), customer(3, 1), product(4, 1)]
+    assert fact(spark, waiting, **known) == {}
+    assert [r.order_item_id for r in build(spark, waiting, **known).unresolved.collect()] == [5]
+    for event in (order(5, 1, status="DONE"), item(5, 5, quantity=8)):
+        got = build(spark, [*waiting, event], **known).fact.collect()
+        assert [(r.customer, r.product, r.first_at, r.created_at) for r in got] == [(3, 4, 5, world.stamp(5))]
+    # An event of the order between the two members does not settle it.
+    early = [order(1, 1), item(2, 5), customer(3, 1), order(4, 1), product(5, 1)]
+    assert fact(spark, early, **known) == {}
 
 
 def test_every_item_is_somewhere_exactly_once(spark):

@@ -26,20 +26,13 @@ def skewed(spark):
     return spark.createDataFrame(facts), spark.createDataFrame(changes)
 
 
-@pytest.mark.parametrize("way", ["together", "split", "broadcast"])
-def test_asof_equals_a_search_per_fact(spark, monkeypatch, way):
+@pytest.mark.parametrize("rows_per_task", [1_000_000, 300, 20])
+def test_asof_equals_a_search_per_fact(spark, rows_per_task):
     facts, versions = skewed(spark)
-    hot = None
-    if way == "split":
-        hot = skew.hot_keys(versions, "k", "from_seq", facts, share=0.1, slices=5)
-        assert [r.k for r in hot.collect()] == [0]
+    hot = skew.hot_keys(versions, "k", "from_seq", facts, rows_per_task)
+    assert (hot is None) == (rows_per_task > 300)
     probes = {"at": {"first": "name"}, "later": {"last": "name"}}
-    if way == "broadcast":
-        monkeypatch.setattr(asof, "BROADCAST_VERSIONS", 10_000)
-        small = asof.small_history(versions.union(versions.limit(100)), "k", "from_seq")
-        got = asof.resolve_small(facts, small, "k", "from_seq", probes).collect()
-    else:
-        got = resolve_asof(facts, versions, "k", "from_seq", probes, ["id"], hot, 3).collect()
+    got = resolve_asof(facts, versions, "k", "from_seq", probes, ["id"], rows_per_task).collect()
     starts = {}
     for row in versions.orderBy("from_seq").collect():
         starts.setdefault(row.k, []).append(row.from_seq)
@@ -53,26 +46,24 @@ def test_asof_equals_a_search_per_fact(spark, monkeypatch, way):
         assert row.first == valid(row.k, row.at) and row.last == valid(row.k, row.later)
 
 
-def test_hot_keys_are_split_over_many_groups(spark):
+def test_no_group_is_above_the_rows_of_a_task(spark):
+    """Key 0 has more than a third of the rows, and many of its facts are at one position."""
     facts, versions = skewed(spark)
-    hot = skew.hot_keys(versions, "k", "from_seq", share=0.1, slices=5)
-    sliced = versions.join(hot, "k").withColumn("s", skew.slice_of(F.col("bounds"), F.col("from_seq")))
-    sizes = [r["count"] for r in sliced.groupBy("k", "s").count().collect()]
-    assert len(sizes) == 5 and max(sizes) < 1.2 * sum(sizes) / 5
-
-
-def test_only_small_and_short_histories_are_broadcast(spark, monkeypatch):
-    facts, versions = skewed(spark)
-    short = versions.filter("k > 0")
-
-    def small(frame):
-        return asof.small_history(frame, "k", "from_seq") is not None
-
-    assert not small(versions)  # key 0 has hundreds of versions
-    assert small(short)
-    assert not small(spark.createDataFrame(short.rdd))  # nobody knows the size
-    monkeypatch.setattr(asof, "BROADCAST_ROWS", 10)
-    assert not small(short)
+    limit = 300
+    hot = skew.hot_keys(versions, "k", "from_seq", facts, limit)
+    assert [r.k for r in hot.collect()] == [0]
+    salts = skew.salts_of(facts, hot, "k", "at", limit)
+    split = asof._split_versions(versions, hot, salts, "k", "from_seq")
+    placed = (
+        facts.join(hot, "k")
+        .withColumn("_slice", skew.slice_of(F.col("bounds"), F.col("at")))
+        .join(salts, ["k", "_slice"])
+        .withColumn("_salt", F.pmod(F.xxhash64("id"), F.col("salts")).cast("int"))
+    )
+    group = ["k", "_slice", "_salt"]
+    sizes = placed.select(*group).unionByName(split.select(*group)).groupBy(*group).count().collect()
+    assert len(sizes) > 5 and max(r["count"] for r in sizes) <= limit
+    assert split.count() < versions.count() + facts.count()
 
 
 def changes(spark, rows):
@@ -98,9 +89,8 @@ def test_versions_are_contiguous_and_one_is_current(spark, dedup):
             assert all(a.name != b.name for a, b in zip(versions, versions[1:]))
     if not dedup:
         assert len(plain) == len(rows)
-    hot = skew.hot_keys(frame, "k", "seq", share=0.3, slices=4)
-    assert [r.k for r in hot.collect()] == [0]
-    assert sorted(scd2.versions(frame, "k", ["name"], dedup, hot).collect()) == sorted(plain)
+    assert [r.k for r in skew.hot_keys(frame, "k", "seq", rows_per_task=150).collect()] == [0]
+    assert sorted(scd2.versions(frame, "k", ["name"], dedup, 150).collect()) == sorted(plain)
 
 
 def test_latest_is_the_current_version(spark):
@@ -145,6 +135,12 @@ def test_upsert_by_name(spark):
     batch = spark.createDataFrame(
         pa.table({"name": ["b", "b", "d", "c"], "address": ["B1", "B2", "D", "C"], "seq": [1, 2, 3, 4]})
     )
+    table = table.unionByName(spark.createDataFrame(pa.table({"id": [5], "name": ["n"], "address": ["N"], "note": ["s"]})))
+    batch = batch.unionByName(spark.createDataFrame([("n", None, 5)], "name string, address string, seq long"))
+    for keep, address in ((False, None), (True, "N")):
+        rows = {r.id: r for r in upsert.upsert_by(table, batch, "name", "id", "seq", keep).collect()}
+        assert (rows[5].address, rows[5].note) == (address, "s")
+    table, batch = table.filter("id < 5"), batch.filter("name <> 'n'")
     got = sorted(upsert.upsert_by(table, batch, "name", "id", "seq").collect())
     assert got == [(1, "a", "A", "p"), (2, "b", "B2", "q"), (3, "d", "D", None), (4, "c", "C", None)]
 

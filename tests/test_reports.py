@@ -95,10 +95,10 @@ def test_records_keep_nulls(fact):
 def test_star_and_months(spark, fact):
     dates = build_dim_dates(spark)
     customers = spark.createDataFrame(
-        pa.table({"customer": [10, 11, 12, 13], "customer_name": list("abcd"), "customer_address": list("ABCD")})
+        pa.table({"customer": [10, 11, 12, 13], "customer_id": [1, 1, 2, 3], "customer_name": list("abcd"), "customer_address": list("ABCD")})
     )
     products = spark.createDataFrame(
-        pa.table({"product": [100, 101, 102, 103], "product_name": list("wxyz"), "barcode": list("1234")})
+        pa.table({"product": [100, 101, 102, 103], "product_id": [1, 1, 2, 3], "product_name": list("wxyz"), "barcode": list("1234")})
     )
     star = {r.order_item_id: r for r in reports.star(fact, customers, products, dates).collect()}
     assert len(star) == 7
