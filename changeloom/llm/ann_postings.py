@@ -4,7 +4,8 @@ Centroids are fitted on a bounded sample, with a charge for full lists that keep
 vector goes into the list of its nearest centroid and, at a boundary, also into those of others that
 are nearly as near. The centroids, of which there are at most ``MOST_LISTS``, are an in-memory graph in
 every task: a batch of vectors walks it from fixed entries to ever nearer centroids. A query takes
-the lists whose centroid is at most ``1 + PROBE_RATIO`` times as far as the nearest one. Distances to
+the lists whose centroid is at most ``1 + PROBE_RATIO`` times as far as the nearest one, and the
+``LEAST_PROBES`` nearest in any case. Distances to
 the members of these lists are exact, in double precision, on the original vectors.
 
 A list is scanned in blocks by a hash of the id, as many as its size asks for, so that a list which
@@ -38,6 +39,7 @@ BLOCK_ROWS = 4096
 REPLICA_RATIO = 0.05
 REPLICAS = 4
 PROBE_RATIO = 0.15
+LEAST_PROBES = 8
 NEIGHBOURS = 24
 BREADTH = 32
 
@@ -148,7 +150,7 @@ def nearest(table: DataFrame, every: int, k: int, probe_ratio: float = PROBE_RAT
     blocks = postings.groupBy("list").agg(F.expr(f"(count(*) + {BLOCK_ROWS} - 1) div {BLOCK_ROWS}").alias("blocks"))
     blocks = F.broadcast(written(blocks, "blocks"))
     asked = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
-    asking = _assigned(asked, index, probe_ratio, None, 2).join(blocks, "list")
+    asking = _assigned(asked, index, probe_ratio, None, LEAST_PROBES).join(blocks, "list")
     asking = asking.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     members = postings.join(blocks, "list").withColumn("block", F.pmod(F.xxhash64("vec_id"), F.col("blocks")))
 

@@ -45,10 +45,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts what a document with a smaller id has already said. Characters of which a byte goes, go; blank rests are dropped."""
     others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    out = phrase_dedup.cut(docs, REPEATED_BYTES, others, as_text=True)
+    marked = docs.withColumn("_null", F.col("text").isNull())
+    out = phrase_dedup.cut(marked, REPEATED_BYTES, (*others, "_null"), as_text=True)
     changed = F.size("spans") > 0
     columns = {c: F.col(f"carried.`{c}`") for c in others} | {"doc_id": F.col("doc_id")}
-    columns["text"] = F.when(changed, F.col("kept_text")).otherwise(F.col("text_bytes").cast("string"))
+    columns["text"] = F.when(changed, F.col("kept_text")).when(~F.col("carried._null"), F.col("text_bytes").cast("string"))
     if "n_chars" in columns:
         columns["n_chars"] = F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
     left = out.filter(~changed | (F.trim(F.translate("kept_text", "\t\n\r", "   ")) != ""))

@@ -69,9 +69,9 @@ def top_k(table: DataFrame, every: int, k: int, scale: float = 256.0) -> DataFra
         wide = queries.join(state, "vec_id") if state is not None else queries
         return wide.withColumn("cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(c_blocks - 1).cast("long"))))
 
-    limit = min((scale * float(most) + 1) ** 2 * longest, 2.0**63)
+    limit = min(min(scale * float(most) + 1, 2.0**32) ** 2 * longest, 2.0**63)
     shift = max(0, int(np.ceil(np.log2(limit))) + 1 - BIN_BITS)
-    state = None  # vec_id, low, high: the k-th score is in [low, high); above: how many are not below high
+    state = None  # vec_id, low, high: the k-th score is from low to high; above: how many are larger than high
     while True:
         at, first = shift, state is None
 
@@ -82,7 +82,7 @@ def top_k(table: DataFrame, every: int, k: int, scale: float = 256.0) -> DataFra
             high = np.full(len(ask), _LONG.max) if first else q.column("high").to_numpy()
             for i in range(len(ask)):
                 mine = score[i][own != ask[i]]
-                mine = mine[(mine >= low[i]) & ((mine <= high[i]) if first else (mine < high[i]))]
+                mine = mine[(mine >= low[i]) & (mine <= high[i])]
                 if not len(mine):
                     continue
                 if len(mine) > k:
@@ -108,7 +108,7 @@ def top_k(table: DataFrame, every: int, k: int, scale: float = 256.0) -> DataFra
             F.min(F.struct("bin", (F.col("upto") + F.col("above") - F.col("n")).alias("above"))).alias("s")
         )
         low = F.shiftleft("s.bin", at)
-        high = F.when(low > F.lit(_LONG.max - (1 << at)), F.lit(_LONG.max)).otherwise(low + F.lit(1 << at))
+        high = low + F.lit((1 << at) - 1)
         state = written(found.select("vec_id", low.alias("low"), high.alias("high"), F.col("s.above").alias("above")), "state")
         if not shift:
             break
