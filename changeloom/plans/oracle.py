@@ -242,13 +242,11 @@ def oracle() -> dict[str, str]:
                         WHEN o_orderpriority = '2-HIGH' THEN strftime(o_orderdate::DATE + 12, '%Y%m%d')::INT
                         ELSE strftime(o_orderdate::DATE + 10, '%Y%m%d')::INT END AS delivery_date
             FROM orders JOIN (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem) ON l_orderkey = o_orderkey""",
-        "pending_orders": """
-            SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-                   CASE WHEN o_orderstatus = 'P' OR o_orderdate + INTERVAL 5 DAY >= TIMESTAMP '1998-07-01' THEN 'PENDING'
-                        WHEN o_orderstatus = 'F' THEN 'COMPLETED'
-                        WHEN o_orderpriority = '1-URGENT' THEN 'OPEN' ELSE 'Open' END AS status
-            FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01' AND NOT EXISTS (
-              SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_shipdate < TIMESTAMP '1998-07-01')""",
+        "pending_orders": _with(
+            ("order_events", "staged_orders"),
+            """SELECT order_id, customer_id, status FROM staged_orders
+               WHERE order_id NOT IN (SELECT l_orderkey FROM lineitem)""",
+        ),
         "pending_items": _with(
             ("item_events",),
             """SELECT order_item_id, arg_min(order_id, seq) AS order_id, arg_max(quantity, seq) AS quantity
