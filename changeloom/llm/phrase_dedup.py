@@ -34,13 +34,16 @@ import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ..sources.workspace import written
 from . import textbytes
 from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, runs, spread, text_bytes, unbucketed
 
-GRAM = 16
+GRAM = 24
 #: A trigger comes once in about this many bytes.
-TRIGGER_BYTES = 18
+TRIGGER_BYTES = 14
+#: What a task holds before it packs: triggers, and phrases of about 70 bytes.
+HELD_KEYS = 500_000
+HELD_PHRASES = 100_000
+DICTIONARY_PHRASES = 20_000
 
 _LUT = np.random.default_rng(977).integers(0, 1 << 63, 256, dtype=np.uint64)
 _LOW = np.uint64((1 << 24) - 1)
@@ -48,15 +51,23 @@ _LOW = np.uint64((1 << 24) - 1)
 
 def _grams(data: np.ndarray) -> np.ndarray:
     """Hashes of all ``GRAM``-byte strings."""
-    h = _LUT[data]
-    width = 1
+    part, width, place = _LUT[data], 1, GRAM
+    found = None  # of the last bytes of the string, those from ``place`` on
     with np.errstate(over="ignore"):
         factor = np.uint64(0x100000001B3)
-        while width < GRAM:  # a string's hash from those of its halves
-            h = h[:-width] * factor + h[width:]
-            factor = factor * factor
+        power = np.uint64(1)  # factor to the number of bytes found so far
+        base = factor
+        while True:
+            if GRAM & width:
+                place -= width
+                own = part[place : len(data) - GRAM + 1 + place]
+                found = own if found is None else own * power + found
+                power = power * base
+            if width * 2 > GRAM:
+                return textbytes.mixed(found)
+            part = part[:-width] * base + part[width:]  # a string's hash from those of its halves
+            base = base * base
             width *= 2
-        return textbytes.mixed(h)
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -80,7 +91,8 @@ def parse(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarra
         h = _grams(part)
         place = np.arange(len(h), dtype=np.uint64)
         trigger = (_least((h & ~_LOW) | place, length - GRAM + 1) & _LOW).astype(np.int64)
-        found.append((trigger + base, h[trigger]))
+        # Triggers are small hashes; stirred again, they fall evenly into buckets.
+        found.append((trigger + base, textbytes.mixed(h[trigger] ^ np.uint64(0x2545F4914F6CDD1D))))
     trigger = np.concatenate([t for t, _ in found])
     h = np.concatenate([x for _, x in found])
     start = np.arange(len(trigger))
@@ -99,7 +111,7 @@ def _ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return column.fill_null(0).to_numpy(), valid
 
 
-LIVE_DDL = "doc_id long, at array<int>"
+KNOWN_DDL = "doc_id long, at array<int>"
 
 
 def _live_rows(owners: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -114,6 +126,11 @@ def _live_rows(owners: np.ndarray, at: np.ndarray) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(owners[own], pa.int64()), lists], names=["doc_id", "at"])
 
 
+def _any_bucket(doc_id: np.ndarray, buckets: int) -> pa.Array:
+    """Buckets for rows that only pass through."""
+    return pa.array((textbytes.mixed(doc_id.view(np.uint64)) % np.uint64(buckets)).astype(np.int32))
+
+
 def _triggers(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     """Triggers packed by bucket. The extra is the place, with the top bit set where the task knows of two documents."""
 
@@ -138,7 +155,7 @@ def _triggers(docs: DataFrame, length: int, buckets: int) -> DataFrame:
             )
         for batch in _live_rows(o[rows], x[rows]):
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(batch.num_rows, pa.int32()), pa.nulls(batch.num_rows, pa.binary()), *batch.columns],
+                [_any_bucket(batch.column(0).to_numpy(), buckets), pa.nulls(batch.num_rows, pa.binary()), *batch.columns],
                 names=["bucket", "blob", "doc_id", "at"],
             )
 
@@ -154,32 +171,39 @@ def _triggers(docs: DataFrame, length: int, buckets: int) -> DataFrame:
                 owners.append(ids[first + row])
                 at.append((trigger - offsets[row]).astype(np.uint32))
                 held += len(h)
-                if held > 1_500_000:
+                if held > HELD_KEYS:
                     yield from flush(keys, owners, at)
                     keys, owners, at, held = [], [], [], 0
         if held:
             yield from flush(keys, owners, at)
 
-    return docs.select("doc_id", "text").mapInArrow(scan, f"{BUCKETED_DDL}, {LIVE_DDL}")
+    return docs.select("doc_id", "text").mapInArrow(scan, f"{BUCKETED_DDL}, {KNOWN_DDL}")
 
 
 def _live(triggers: DataFrame) -> DataFrame:
-    """``(doc_id, at)``: places of triggers that occur in several documents."""
+    """``(doc_id, at)``: places of triggers that occur in several documents. Rows that the tasks knew of pass through."""
 
     def find(group: pa.Table) -> pa.Table:
-        keys, owners, extra = unbucketed(group.column("blob"))
-        order = np.lexsort((owners, keys))
-        keys, owners, extra = keys[order], owners[order], extra[order]
-        told = (extra >> np.uint32(31)).astype(bool)
-        starts = runs(keys)
-        sizes = np.diff(np.append(starts, len(keys)))
-        shared = np.minimum.reduceat(owners, starts) != np.maximum.reduceat(owners, starts)
-        shared |= np.logical_or.reduceat(told, starts)
-        rows = np.repeat(shared, sizes) & ~told
-        out = list(_live_rows(owners[rows], extra[rows]))
-        return pa.Table.from_batches(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "at": pa.array([], pa.list_(pa.int32()))})
-
-    return triggers.filter("bucket is not null").select("bucket", "blob").groupBy("bucket").applyInArrow(find, LIVE_DDL)
+        known = group.filter(pc.is_null(group.column("blob"))).select(["doc_id", "at"]).combine_chunks()
+        at = known.column("at").combine_chunks()
+        counts = pc.fill_null(pc.list_value_length(at), 0).to_numpy()
+        ids, places = [np.repeat(known.column("doc_id").to_numpy(), counts)], [at.flatten().to_numpy()]
+        blobs = group.column("blob").drop_null()
+        if len(blobs):
+            keys, owners, extra = unbucketed(blobs)
+            order = np.lexsort((owners, keys))
+            keys, owners, extra = keys[order], owners[order], extra[order]
+            told = (extra >> np.uint32(31)).astype(bool)
+            starts = runs(keys)
+            sizes = np.diff(np.append(starts, len(keys)))
+            shared = np.minimum.reduceat(owners, starts) != np.maximum.reduceat(owners, starts)
+            shared |= np.logical_or.reduceat(told, starts)
+            rows = np.repeat(shared, sizes) & ~told
+            ids.append(owners[rows])
+            places.append(extra[rows].astype(np.int32))
+        return pa.table({"doc_id": pa.array(np.concatenate(ids), pa.int64()), "at": pa.array(np.concatenate(places), pa.int32())})
+
+    return triggers.groupBy("bucket").applyInArrow(find, "doc_id long, at int")
 
 
 def _packed(docs: DataFrame, *carry: str) -> DataFrame:
@@ -222,13 +246,14 @@ def _range_batch(owner, tag, first, end) -> pa.RecordBatch:
 
 
 def _entry_blob(h, owner, tag, first, count, data: bytes) -> bytes:
-    return b"".join((
+    return zstandard.ZstdCompressor(level=1).compress(b"".join((
         np.uint64(len(h)).tobytes(), h.tobytes(), owner.tobytes(), tag.astype(np.uint32).tobytes(),
         first.astype(np.uint32).tobytes(), count.astype(np.uint8).tobytes(), data,
-    ))
+    )))
 
 
 def _entries(blob: pa.Buffer) -> tuple[np.ndarray, ...]:
+    blob = zstandard.ZstdDecompressor().decompress(blob)
     n = int(np.frombuffer(blob, np.uint64, 1)[0])
     at, out = 8, []
     for kind, width in ((np.uint64, 8), (np.int64, 8), (np.uint32, 4), (np.uint32, 4), (np.uint8, 1)):
@@ -238,7 +263,7 @@ def _entries(blob: pa.Buffer) -> tuple[np.ndarray, ...]:
 
 
 def _phrases(texts: DataFrame, length: int, buckets: int) -> DataFrame:
-    """``(doc_id, tag, packed, at)`` -> phrases at the places, packed by bucket, and ranges that are repeated for sure."""
+    """``(doc_id, tag, packed, carried, at)`` -> phrases at the places, packed by bucket, and ranges that are repeated for sure."""
 
     def flush(h, name, owner, tag, first, count, data) -> Iterator[pa.RecordBatch]:
         h, name, owner, tag, first, count = (np.concatenate(x) for x in (h, name, owner, tag, first, count))
@@ -252,7 +277,7 @@ def _phrases(texts: DataFrame, length: int, buckets: int) -> DataFrame:
         if len(later):
             batch = _range_batch(owner[later], tag[later], first[later], first[later] + sizes[later])
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(later), pa.int32()), pa.nulls(len(later), pa.binary()), *batch.columns], names=["bucket", "blob", *batch.schema.names]
+                [_any_bucket(owner[later], buckets), pa.nulls(len(later), pa.binary()), *batch.columns], names=["bucket", "blob", *batch.schema.names]
             )
         sent = order[owner[order] == least]
         bucket = ((h[sent] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
@@ -273,20 +298,22 @@ def _phrases(texts: DataFrame, length: int, buckets: int) -> DataFrame:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, parts = 0, [[] for _ in range(7)]
         for batch in batches:
-            ids, tags = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            ids, tags = _ids(batch.column(0))[0], batch.column(1).to_numpy()
             lo = 0
             while lo < batch.num_rows:
                 texts, size, hi = [], 0, lo
-                while hi < batch.num_rows and (hi == lo or size < textbytes.PIECE_BYTES):
-                    texts.append(_unpacked(batch.column(2).slice(hi, 1))[0])
+                while hi < batch.num_rows and (hi == lo or size < textbytes.PIECE_BYTES // 4):
+                    known = batch.column(4)[hi].is_valid
+                    texts.append(_unpacked(batch.column(2).slice(hi, 1))[0] if known else b"")
                     size += len(texts[-1])
                     hi += 1
                 offsets = np.concatenate(([0], np.cumsum([len(t) for t in texts])))
                 data = np.frombuffer(b"".join(texts), np.uint8)
                 row, first, last, trigger, h = parse(data, offsets, length)
                 live = np.zeros(len(data) + 1, dtype=bool)
-                at = batch.column(3).slice(lo, hi - lo)
-                places = at.flatten().to_numpy() + np.repeat(offsets[:-1], pc.list_value_length(at).to_numpy())
+                at = batch.column(4).slice(lo, hi - lo)
+                counts = pc.fill_null(pc.list_value_length(at), 0).to_numpy()
+                places = at.flatten().to_numpy() + np.repeat(offsets[:-1], counts)
                 live[places[places < len(data)]] = True
                 keep = live[trigger]
                 row, first, last, h = row[keep], first[keep], last[keep], h[keep]
@@ -299,14 +326,14 @@ def _phrases(texts: DataFrame, length: int, buckets: int) -> DataFrame:
                     )):
                         part.append(value)
                     held += len(row)
-                if held > 400_000:
+                if held > HELD_PHRASES:
                     yield from flush(*parts)
                     held, parts = 0, [[] for _ in range(7)]
                 lo = hi
         if held:
             yield from flush(*parts)
 
-    return texts.select("doc_id", "tag", "packed", "at").mapInArrow(scan, f"{BUCKETED_DDL}, {RANGE_DDL}")
+    return texts.select("doc_id", "tag", "packed", "carried", "at").mapInArrow(scan, f"{BUCKETED_DDL}, {RANGE_DDL}")
 
 
 def repeats(h, name, owner, first, count, data, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -352,16 +379,30 @@ def repeats(h, name, owner, first, count, data, length: int) -> tuple[np.ndarray
 
 def _dictionary(phrases: DataFrame, length: int) -> DataFrame:
     def find(group: pa.Table) -> pa.Table:
-        parts = [_entries(x.as_buffer()) for x in group.column("blob")]
+        known = group.filter(pc.is_null(group.column("blob"))).select(["doc_id", "tag", "first", "end"])
+        blobs = group.column("blob").drop_null()
+        if not len(blobs):
+            return known
+        parts = [_entries(x.as_buffer()) for x in blobs]
         h, owner, tag, first, count, data = (np.concatenate(x) for x in zip(*parts))
         first, count = first.astype(np.int64), count.astype(np.int64)
         sizes = count + (length - 1)
         starts = np.cumsum(sizes) - sizes
-        name = textbytes.span_hashes(data, starts, starts + sizes)
-        row, begin, end = repeats(h, name, owner, first, count, data, length)
-        return pa.Table.from_batches([_range_batch(owner[row], tag[row].astype(np.int64), begin, end)])
-
-    return phrases.filter("bucket is not null").select("bucket", "blob").groupBy("bucket").applyInArrow(find, RANGE_DDL)
+        # Triggers of about DICTIONARY_PHRASES phrases at a time, so that their suffixes stay few.
+        order = np.argsort(h, kind="stable")
+        heads = runs(h[order])
+        cuts = heads[runs(heads // DICTIONARY_PHRASES)]
+        out = []
+        for lo, hi in zip(cuts, np.append(cuts[1:], len(order))):
+            own = order[lo:hi]
+            text = data[spread(starts[own], sizes[own])]
+            begins = np.cumsum(sizes[own]) - sizes[own]
+            name = textbytes.span_hashes(text, begins, begins + sizes[own])
+            row, begin, end = repeats(h[own], name, owner[own], first[own], count[own], text, length)
+            out.append(_range_batch(owner[own][row], tag[own][row].astype(np.int64), begin, end))
+        return pa.Table.from_batches([*known.to_batches(), *[b.cast(known.schema) for b in out]], schema=known.schema)
+
+    return phrases.groupBy("bucket").applyInArrow(find, RANGE_DDL)
 
 
 def cut(docs: DataFrame, length: int = 50, carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
@@ -371,23 +412,23 @@ def cut(docs: DataFrame, length: int = 50, carry: tuple[str, ...] = (), as_text:
     that holds the columns named in ``carry``.
     """
     buckets = max(1, text_bytes(docs) // (TRIGGER_BYTES * KEYS_PER_BUCKET) + 1)
-    triggers = written(_triggers(docs, length, buckets), "triggers")
-    live = triggers.filter("doc_id is not null").select("doc_id", "at").unionByName(_live(triggers))
-    live = live.groupBy("doc_id").agg(F.flatten(F.collect_list("at")).alias("at"))
-    phrases = written(_phrases(_packed(docs).drop("carried").join(live, "doc_id"), length, buckets), "phrases")
-    ranges = phrases.filter("bucket is null").select("doc_id", "tag", "first", "end").unionByName(_dictionary(phrases, length))
-    ranges = ranges.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("first", "end")).alias("ranges"))
+    live = _live(_triggers(docs, length, buckets)).groupBy("doc_id").agg(F.collect_list("at").alias("at"))
+    # Both joins take all columns of the packed texts by the same key, so that one shuffle serves both.
+    packed = _packed(docs, *carry)
+    places = packed.join(live, "doc_id", "left").select("doc_id", "tag", "packed", "carried", "at")
+    ranges = _dictionary(_phrases(places, length, buckets), length)
+    ranges = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "first", "end")).alias("ranges"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = _unpacked(batch.column(1))
             kept, firsts, ends, bounds = [], [], [], [0]
-            for text, ranges in zip(texts, batch.column(2)):
-                if not ranges.is_valid:
+            for text, tag, ranges in zip(texts, batch.column(4).to_numpy(), batch.column(2)):
+                own = np.flatnonzero(ranges.values.field("tag").to_numpy() == tag) if ranges.is_valid else ()
+                if not len(own):
                     kept.append(text)
                 else:
-                    values = ranges.values
-                    first, end = values.field("first").to_numpy(), values.field("end").to_numpy()
+                    first, end = (ranges.values.field(name).to_numpy()[own] for name in ("first", "end"))
                     order = np.argsort(first, kind="stable")
                     first, reach = first[order], np.maximum.accumulate(end[order])
                     heads = np.concatenate(([0], np.flatnonzero(first[1:] > reach[:-1]) + 1))
@@ -396,7 +437,7 @@ def cut(docs: DataFrame, length: int = 50, carry: tuple[str, ...] = (), as_text:
                     kept.append(b"".join(text[a:b] for a, b in zip(edges[::2], edges[1::2])))
                     firsts.append(first)
                     ends.append(end)
-                bounds.append(bounds[-1] + (len(firsts[-1]) if ranges.is_valid else 0))
+                bounds.append(bounds[-1] + (len(firsts[-1]) if len(own) else 0))
             flat = pa.StructArray.from_arrays(
                 [pa.array(np.concatenate(x) if x else np.zeros(0, np.int32), pa.int32()) for x in (firsts, ends)], names=["first", "end"]
             )
@@ -406,7 +447,7 @@ def cut(docs: DataFrame, length: int = 50, carry: tuple[str, ...] = (), as_text:
                 names=["doc_id", "text_bytes", "kept", "spans", "kept_text", "carried"],
             )
 
-    joined = _packed(docs, *carry).join(ranges, ["doc_id", "tag"], "left").select("doc_id", "packed", "ranges", "carried")
+    joined = packed.join(ranges, "doc_id", "left").select("doc_id", "packed", "ranges", "carried", "tag")
     schema = T.StructType.fromDDL("doc_id long, text_bytes binary, kept binary, spans array<struct<first:int,end:int>>, kept_text string")
     return joined.mapInArrow(apply, schema.add("carried", joined.schema["carried"].dataType))
 
