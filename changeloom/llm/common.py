@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..sources.workspace import written
 
 KEY_BYTES = 5
-KEYS_PER_BUCKET = 1_000_000
+KEYS_PER_BUCKET = 400_000
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 BUCKETED = pa.schema([("bucket", pa.int32()), ("blob", pa.binary())])
 BUCKETED_DDL = "bucket int, blob binary"
@@ -90,6 +91,20 @@ def runs(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(change)
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """``written``, with the shuffles behind the table deleted as soon as it is there.
+
+    Otherwise they stay until the driver happens to collect its garbage, which may be long after the disks are full.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return written(df, purpose)
+    finally:
+        conf.set(_CLEANUP, before)
+
+
 def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Places of several spans, one after the other."""
     ends = np.cumsum(sizes)
@@ -102,16 +117,16 @@ def components(edges: DataFrame, max_rounds: int = 50) -> DataFrame:
     Alternates large-star and small-star steps. Neighbours are never gathered: a step is a minimum
     per node and a join of the edges with it, so a node with very many edges costs only rows.
     """
-    edges = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    edges = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None
     for _ in range(max_rounds):
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         large = both.filter("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).filter("a <> b")
-        large = large.unionByName(edges.join(low, "a").select("a", F.col("m").alias("b")).filter("a <> b")).distinct()
+        large = large.unionByName(edges.join(low, "a").select("a", F.col("m").alias("b")).filter("a <> b"))
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(low, "a").select(F.col("b").alias("x"), "m").filter("x <> m").select(F.col("x").alias("a"), F.col("m").alias("b"))
-        edges = written(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
+        edges = stored(small.unionByName(low.select("a", F.col("m").alias("b"))).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
         if now == before:
             break

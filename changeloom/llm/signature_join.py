@@ -9,14 +9,15 @@ Two documents link when the Jaccard similarity of their shingle sets is at least
    them is not empty unless a set has more than ``slack`` empty parts; such sets are grouped by the
    prefix of their sorted shingles instead. A part that differs in one word of a shared passage is
    another part, so passages that many documents share do not make large groups.
-3. *Stars.* The sets of a group are compared with one of them; linked ones merge. Most groups are
-   settled by this: their members are all in one component.
+3. *Stars.* The sets of a group are compared with one of them, then with another; linked ones merge. Most
+   groups are settled by this: their members are all in one component.
 4. *Trees.* The other groups are cut into blocks. A block is a tree whose nodes hold the OR of their
    members' bitmaps and their range of sizes. Two trees are walked together from their roots; a pair
    of nodes is left when it lies within one component, when its sizes are too far apart, or when the
    greatest overlap that its bitmaps allow is too small. Pairs of leaves that remain are compared exactly.
 
-Only links between different components are ever looked for, so no group's pairs are listed.
+Only links between different components are ever looked for, and a pair is reported by the first of
+the groups that it shares, so no group's pairs are listed.
 
 Defined cases: a null or blank text has no shingles and no links (``n_shingles`` 0). A row without id has
 its own ``n_shingles`` and a null component. Rows that repeat an id are one document with several
@@ -32,13 +33,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..sources.workspace import written
 from . import textbytes
-from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, components, runs, text_bytes, unbucketed
+from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, components, runs, stored, text_bytes, unbucketed
 
 BLOCK = 512
 FANOUT = 8
 STAR_ROUNDS = 2
+#: Keys that a task holds before it packs them.
+HELD_KEYS = 500_000
 #: Keys of a text are about a third of its words, and a word has at least two bytes.
 KEYS_PER_BYTE = 0.06
 
@@ -160,7 +162,7 @@ def _keys(docs: DataFrame, width: int, percent: int, buckets: int) -> DataFrame:
                     keys.append(set_keys(own, bounds))
                     owners.append(np.full(len(keys[-1]), ids[first + i].as_py(), dtype=np.int64))
                     held += len(keys[-1])
-                if held > 1_500_000:
+                if held > HELD_KEYS:
                     k = np.concatenate(keys)
                     yield from bucketed(k, np.concatenate(owners), np.zeros(len(k), dtype=np.uint32), buckets)
                     keys, owners, held = [], [], 0
@@ -258,9 +260,9 @@ def _linked(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
     near = pairs.join(side("a", "n", "bits"), "a").join(side("b", "n", "bits"), "b")
     near = near.filter(f"100 * least(n_a, n_b) >= {percent} * greatest(n_a, n_b)")
     near = near.select("a", "b", "n_a", "bits_a", "n_b", "bits_b").mapInArrow(by_bits, "a long, b long").distinct()
-    near = written(near, "near")
+    near = stored(near, "near")
     full = near.join(side("a", "set"), "a").join(side("b", "set"), "b").select("a", "b", "set_a", "set_b")
-    return written(full.mapInArrow(by_sets, "a long, b long").distinct(), "linked")
+    return stored(full.mapInArrow(by_sets, "a long, b long").distinct(), "linked")
 
 
 class Tree:
@@ -313,7 +315,10 @@ def walk(one: Tree, two: Tree, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows(grp, p, q, block, owner, comp, n, bits)`` -> pairs that the trees of two blocks leave."""
+    """``rows(grp, p, q, block, owner, comp, groups, n, bits)`` -> pairs that the trees of two blocks leave.
+
+    ``groups``: all open groups of the owner; a pair is left to the smallest one that both have.
+    """
 
     def join(group: pa.Table) -> pa.Table:
         bounds = Bounds(percent)
@@ -345,6 +350,10 @@ def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         sure = np.minimum(n[a] - np.bitwise_count(bits[a] & ~bits[b]).sum(axis=1), n[b] - np.bitwise_count(bits[b] & ~bits[a]).sum(axis=1))
         keep &= sure >= bounds.least_common(n[a], n[b])
         keep &= comp[a] != comp[b]
+        a, b, x, y = a[keep], b[keep], x[keep], y[keep]
+        own = group.column("grp")[0].as_py()
+        others = [np.asarray(v.values) for v in group.column("groups").combine_chunks()]
+        keep = np.array([np.intersect1d(others[s], others[t])[0] == own for s, t in zip(a, b)], dtype=bool)
         return pa.table({"a": np.minimum(x, y)[keep], "b": np.maximum(x, y)[keep]})
 
     return rows.groupBy("grp", "p", "q").applyInArrow(join, "a long, b long").distinct()
@@ -352,15 +361,16 @@ def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
 
 def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row: the smallest id reachable by links."""
-    sets = written(shingle_sets(docs, width), "sets")
+    sets = stored(shingle_sets(docs, width), "sets")
     named = sets.filter("doc_id is not null and n_shingles > 0")
     first = named.groupBy("set_a", "set_b", "n_shingles").agg(F.min("doc_id").alias("b"))
     edges = named.join(first, ["set_a", "set_b", "n_shingles"]).select(F.col("doc_id").alias("a"), "b").filter("a <> b")
-    comps = written(components(edges), "comps")
+    edges = stored(edges, "copies")
+    comps = edges.groupBy("a").agg(F.min("b").alias("comp")).select(F.col("a").alias("node"), "comp")
 
     buckets = max(1, int(text_bytes(docs) * KEYS_PER_BYTE / KEYS_PER_BUCKET) + 1)
-    groups = written(_groups(_keys(docs, width, percent, buckets)), "groups")
-    profiles = written(_profiles(docs, groups, width), "profiles")
+    groups = stored(_groups(_keys(docs, width, percent, buckets)), "groups")
+    profiles = stored(_profiles(docs, groups, width), "profiles")
 
     def with_comp(rows: DataFrame) -> DataFrame:
         known = comps.select(F.col("node").alias("owner"), "comp")
@@ -369,25 +379,25 @@ def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFram
     for turn in range(STAR_ROUNDS):
         rows = with_comp(groups)
         centre = rows.groupBy("grp").agg(
-            F.min_by("owner", F.xxhash64("owner", F.lit(turn))).alias("centre"),
-            F.min_by("comp", F.xxhash64("owner", F.lit(turn))).alias("centre_comp"),
+            F.min_by(F.struct(F.col("owner").alias("id"), "comp"), F.xxhash64("owner", F.lit(turn))).alias("c"),
             F.min("comp").alias("low"), F.max("comp").alias("high"),
         ).filter("low <> high")
-        pairs = rows.join(centre, "grp").filter("comp <> centre_comp").select(
-            F.least("owner", "centre").alias("a"), F.greatest("owner", "centre").alias("b")
-        ).distinct()
-        links = _linked(pairs, profiles, percent)
-        comps = written(components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links)), "comps")
+        pairs = rows.join(centre, "grp").filter("comp <> c.comp")
+        pairs = pairs.select(F.least("owner", "c.id").alias("a"), F.greatest("owner", "c.id").alias("b")).distinct()
+        edges = edges.unionByName(_linked(pairs, profiles, percent))
+        comps = stored(components(edges), "comps")
 
     rows = with_comp(groups)
     size = rows.groupBy("grp").agg(F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     size = size.filter("low <> high and members > 2").select("grp", F.expr(f"(members + {BLOCK} - 1) div {BLOCK}").alias("blocks"))
-    rows = rows.join(size, "grp").withColumn("block", F.pmod(F.xxhash64("owner"), "blocks"))
+    rows = stored(rows.join(size, "grp"), "open")
+    owners = rows.groupBy("owner").agg(F.array_sort(F.collect_list("grp")).alias("groups"))
+    owners = owners.join(profiles.select(F.col("doc_id").alias("owner"), "n", "bits"), "owner")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("owner"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("grp", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "owner", "comp")
-    rows = rows.join(profiles.select(F.col("doc_id").alias("owner"), "n", "bits"), "owner")
-    links = _linked(_tree_pairs(rows, percent), profiles, percent)
-    comps = components(comps.select(F.col("node").alias("a"), F.col("comp").alias("b")).unionByName(links))
+    links = _linked(_tree_pairs(rows.join(owners, "owner"), percent), profiles, percent)
+    comps = components(edges.unionByName(links))
 
     known = comps.select(F.col("node").alias("doc_id"), F.col("comp").alias("component_id"))
     return sets.select("doc_id", "n_shingles").join(known, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
