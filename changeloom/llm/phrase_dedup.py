@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import textbytes
-from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, runs, spread, text_bytes, unbucketed
+from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, runs, spread, stored, text_bytes, unbucketed
 
 GRAM = 24
 #: A trigger comes once in about this many bytes.
@@ -412,7 +412,7 @@ def cut(docs: DataFrame, length: int = 50, carry: tuple[str, ...] = (), as_text:
     that holds the columns named in ``carry``.
     """
     buckets = max(1, text_bytes(docs) // (TRIGGER_BYTES * KEYS_PER_BUCKET) + 1)
-    live = _live(_triggers(docs, length, buckets)).groupBy("doc_id").agg(F.collect_list("at").alias("at"))
+    live = stored(_live(_triggers(docs, length, buckets)).groupBy("doc_id").agg(F.collect_list("at").alias("at")), "live")
     # Both joins take all columns of the packed texts by the same key, so that one shuffle serves both.
     packed = _packed(docs, *carry)
     places = packed.join(live, "doc_id", "left").select("doc_id", "tag", "packed", "carried", "at")
