@@ -181,6 +181,15 @@ _DIM_PRODUCTS = _with(
         ({_versions("product_id", "product_name, barcode", "product_changes")}) v""",
 )
 
+# Dense numbers: customers come first, then products by partition and offset.
+_SNAPSHOT_SQL = """
+    SELECT n AS product_id, sum(quantity)::BIGINT AS total_pending_quantity FROM (
+        SELECT p_partkey, (SELECT count(*) FROM customer) + row_number() OVER (ORDER BY p_partkey % 3, p_partkey // 3) AS n FROM part) p
+    JOIN (SELECT l_orderkey, max(l_partkey) AS product_id, max(l_quantity)::INT AS quantity
+          FROM lineitem GROUP BY l_orderkey, l_linenumber) i ON i.product_id = p_partkey
+    JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey
+    GROUP BY n"""
+
 _FACT_SQL = _with(_FACT, _SHOWN_FACT)
 
 
@@ -188,6 +197,7 @@ def oracle() -> dict[str, str]:
     return {
         "fact_build": _FACT_SQL,
         "fact_from_log": _FACT_SQL,
+        "pending_quantity_without_seq": _SNAPSHOT_SQL,
         "stream_fact_build": _FACT_SQL,
         "stream_replay": _FACT_SQL,
         "stream_scd2": _DIM_PRODUCTS,

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -89,6 +90,40 @@ def fact_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown_fact(built.fact)
 
 
+def _snapshot_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tables as a snapshot: no seq, one log position beyond 32 TiB, three partitions a topic."""
+
+    def topic(name: str, rows: DataFrame, key: str) -> DataFrame:
+        source = F.struct(F.lit(1 << 46).alias("lsn"), F.lit(864_000_000_000).alias("ts_ms"))
+        return rows.select(
+            F.lit(f"{retail.TOPIC_PREFIX}.{name}").alias("topic"),
+            (F.col(key) % 3).cast("int").alias("partition"),
+            F.expr(f"{key} div 3").alias("offset"),
+            F.lit(None).cast("long").alias("seq"),
+            F.to_json(F.struct(F.struct(*rows.columns).alias("after"), source.alias("source"))).alias("value"),
+        )
+
+    customers = retail.table(spark, sf_dir, "customer").selectExpr("c_custkey customer_id", "c_name customer_name")
+    products = retail.table(spark, sf_dir, "part").selectExpr("p_partkey product_id", "p_name product_name")
+    orders = retail.table(spark, sf_dir, "orders").selectExpr("o_orderkey order_id", "o_custkey customer_id", "10000 order_date", "'open' status")
+    items = retail.table(spark, sf_dir, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(
+        F.max("l_partkey").alias("product_id"), F.max("l_quantity").cast("int").alias("quanity")
+    )
+    items = items.selectExpr("l_orderkey * 10 + l_linenumber order_item_id", "l_orderkey order_id", "product_id", "quanity")
+    topics = [
+        topic("customers", customers, "customer_id"), topic("products", products, "product_id"),
+        topic("orders", orders, "order_id"), topic("order_items", items, "order_item_id"),
+    ]
+    return reduce(DataFrame.unionByName, topics)
+
+
+@query
+def pending_quantity_without_seq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Members of a snapshot whose events have no order of their own."""
+    built = star.build_facts(star.from_log(_snapshot_log(spark, sf_dir)), retail.dim_dates(spark))
+    return reports.pending_quantity_by_product(built.fact)
+
+
 @query
 def unresolved_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _build(spark, sf_dir).unresolved.select(

@@ -10,7 +10,7 @@ from ..operators import fact as facts, scd2
 from ..operators.skew import ROWS_PER_TASK
 from ..operators.state import staging_items, staging_orders
 from ..operators.surrogate import inferred_key
-from ..sources.changelog import events
+from ..sources.changelog import events, numbered
 
 CUSTOMER_ATTRS = ["customer_name", "customer_address"]
 PRODUCT_ATTRS = ["product_name", "barcode"]
@@ -26,6 +26,8 @@ class ChangeTables(NamedTuple):
 
 
 def from_log(log: DataFrame, strict_zero: bool = False) -> ChangeTables:
+    """Events of a batch log; those without ``seq`` are numbered over all tables together."""
+    log = numbered(log)
     return ChangeTables(*[events(log, table, strict_zero) for table in ChangeTables._fields])
 
 
