@@ -120,12 +120,14 @@ def laid_out(rows: DataFrame, seed: int, most_rows: int) -> DataFrame:
     )
 
 
-def pieces(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, seed: int = 7) -> tuple[DataFrame, DataFrame]:
-    """The mix, and the documents with their sizes and targets.
+def pieces(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, seed: int = 7, key: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The mix, and the documents with their sizes and targets. ``row`` is the unique column ``key``, or else made here.
 
     Mix: ``slot, row, doc_id, first, end``, the words of a document that a slot reads, in order of ``slot`` and ``first``.
     """
-    rows = written(sized(docs.select("doc_id", "source", "text")).select("doc_id", "source", "size").withColumn("row", F.monotonically_increasing_id()), "sized")
+    row = F.col(key) if key else F.monotonically_increasing_id()
+    own = [key] if key else []
+    rows = written(sized(docs.select("doc_id", "source", "text", *own)).select("doc_id", "source", "size", row.alias("row")), "sized")
     totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     totals = written(totals, "totals")
     sources = written(targets(totals.drop("rows"), weights, most).withColumn("take", F.floor(F.col("target") + 0.5)), "sources")
@@ -146,12 +148,15 @@ def pieces(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float =
     return read.join(turns, ["src", "turn"]).select("slot", "row", "doc_id", "first", "end"), known
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, seed: int = 7) -> DataFrame:
-    """``doc_id, size, source_size, target, taken`` of each row: the words that the mix takes, repeats counted."""
-    read, known = pieces(docs, weights, most, seed)
+def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, seed: int = 7, key: str | None = None) -> DataFrame:
+    """``doc_id, size, source_size, target, taken`` of each row: the words that the mix takes, repeats counted.
+
+    With ``key``, a unique column of ``docs``, it is added as ``row``.
+    """
+    read, known = pieces(docs, weights, most, seed, key)
     taken = read.groupBy("row").agg(F.sum(F.col("end") - F.col("first")).alias("taken"))
     return known.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken")
+        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), *(["row"] if key else [])
     )
 
 

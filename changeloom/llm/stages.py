@@ -52,16 +52,17 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     columns["text"] = F.when(changed, F.col("kept_text")).when(~F.col("carried._null"), F.col("text_bytes").cast("string"))
     if "n_chars" in columns:
         columns["n_chars"] = F.when(changed, F.length("kept_text").cast(docs.schema["n_chars"].dataType)).otherwise(columns["n_chars"])
-    left = out.filter(~changed | (F.trim(F.translate("kept_text", "\t\n\r", "   ")) != ""))
+    left = out.filter(~changed | (F.trim(F.translate("kept_text", "\t\n\v\f\r", " " * 5)) != ""))
     return left.select(*[columns[c].alias(c) for c in docs.columns])
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix reads it, to the nearest whole number; documents that it does not reach go."""
-    taken = source_mix.mix(docs, SOURCE_WEIGHTS, MOST_REPEATS).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.floor(F.sum("taken") / F.sum("size") + 0.5).alias("_times")
-    )
-    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col("_id"))).filter("_times > 0")
+    """Each document as often as the mix reads it, to the nearest whole number; documents that it does not reach go, as do those without words."""
+    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    # Counted by row, as ids may be missing or repeated. A document without a word is read no time.
+    times = F.coalesce(F.floor(F.try_divide("taken", "size") + 0.5), F.lit(0).cast("long"))
+    taken = source_mix.mix(keyed, SOURCE_WEIGHTS, MOST_REPEATS, key="_row").select(F.col("row").alias("_row"), times.alias("_times"))
+    rows = keyed.join(taken.filter("_times > 0"), "_row")
     return rows.withColumn("_time", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_times")))).select(*docs.columns)
 
 

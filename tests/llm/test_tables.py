@@ -6,10 +6,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from changeloom.llm import ann_postings, language_crf, queries, source_mix, stages, topk_histogram, warc
-from changeloom.sources.workspace import workspace
+from changeloom.sources.workspace import workspace, written
 
 from . import brute
 
@@ -188,6 +189,30 @@ def test_repeated_ids_leave_one_row(spark):
     assert got == [("1", "a b c d e f"), ("2", "g h i j k"), ("None", "a b c")]
 
 
+def test_mixture_counts_rows_with_and_without_words_and_ids(spark):
+    rows = [(None, f"w{k} " * (k + 1), "abc"[k % 3]) for k in range(30)]
+    rows += [(k % 10, f"v{k} " * (30 - k), "abc"[k % 3]) for k in range(30)]
+    rows += [(100, None, "a"), (101, "", "b"), (None, " \t\v\f ", "c"), (102, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("at", F.monotonically_increasing_id())
+    docs = written(docs, "docs")
+    got = stages.mixture(spark, docs, "")
+    assert got.columns == docs.columns
+    counts = {}
+    for r in got.collect():
+        counts[r.at] = counts.get(r.at, 0) + 1
+    mixed = source_mix.mix(docs, stages.SOURCE_WEIGHTS, stages.MOST_REPEATS, key="at").collect()
+    assert len(mixed) == len(rows) and sum(r["size"] == 0 for r in mixed) == 4
+    want = {r.row: math.floor(r.taken / r["size"] + 0.5) for r in mixed if r["size"]}
+    assert len({n for n in want.values()}) > 1
+    assert counts == {row: n for row, n in want.items() if n}
+
+
+def test_rests_of_form_feeds_are_blank(spark):
+    passage = "a passage of more than fifty bytes that two documents have in common, to be cut"
+    docs = spark.createDataFrame([(1, passage), (2, f"\f\v{passage}\v\f"), (3, None), (4, "\f")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in stages.repeated_passages(spark, docs, "").collect()) == [1, 3, 4]
+
+
 def test_registry():
     names = set(queries.registered())
     assert {n.split("_")[0] for n in names} == {f"op{k}" for k in range(1, 11)}
