@@ -13,7 +13,11 @@ smaller id. All such strings must be found, in a corpus too large for one suffix
 3. *Dictionary.* The phrases at those triggers are gathered by trigger hash. Equal phrases are one
    entry; where it occurs again, in a document with a larger id, the whole phrase is repeated (the
    order of the parse). Entries with the same trigger are compared in the order of their suffixes,
-   cut at ``length``: equal neighbours in this order are the strings that two entries share.
+   cut at ``length``: equal neighbours in this order are the strings that two entries share. A trigger
+   with more than ``HOT_PHRASES`` phrases, as at the edges of a passage that many documents share, would
+   be one task's work; its phrases are sent as single strings instead, each to the bucket of its own
+   hash, and each task sends a string once. The list of such triggers is at most the number of
+   phrases divided by ``HOT_PHRASES``.
 4. The repeated ranges are united by document and cut from the text.
 
 Strings are compared as bytes in step 3; hashes only decide what is compared (phrases: 128 bits).
@@ -35,7 +39,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from . import textbytes
-from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, runs, spread, stored, text_bytes, unbucketed
+from .common import BUCKETED_DDL, KEY_BYTES, KEYS_PER_BUCKET, bucketed, runs, spread, stored, text_bytes, unbucketed
 
 GRAM = 24
 #: A trigger comes once in about this many bytes.
@@ -44,6 +48,8 @@ TRIGGER_BYTES = 14
 HELD_KEYS = 500_000
 HELD_PHRASES = 100_000
 DICTIONARY_PHRASES = 20_000
+#: Phrases of a trigger that are compared in one place.
+HOT_PHRASES = 20_000
 
 _LUT = np.random.default_rng(977).integers(0, 1 << 63, 256, dtype=np.uint64)
 _LOW = np.uint64((1 << 24) - 1)
@@ -132,7 +138,7 @@ def _any_bucket(doc_id: np.ndarray, buckets: int) -> pa.Array:
 
 
 def _triggers(docs: DataFrame, length: int, buckets: int) -> DataFrame:
-    """Triggers packed by bucket. The extra is the place, with the top bit set where the task knows of two documents."""
+    """Triggers packed by bucket. The extra is the place, or where the task knows of two documents, the count with the top bit set."""
 
     def flush(keys, owners, at) -> Iterator[pa.RecordBatch]:
         k, o, x = np.concatenate(keys), np.concatenate(owners), np.concatenate(at)
@@ -147,7 +153,7 @@ def _triggers(docs: DataFrame, length: int, buckets: int) -> DataFrame:
         tell = starts[shared]
         k_out = np.concatenate((k[~rows], k[tell]))
         o_out = np.concatenate((o[~rows], o[tell]))
-        x_out = np.concatenate((x[~rows], x[tell] | np.uint32(1 << 31)))
+        x_out = np.concatenate((x[~rows], sizes[shared].astype(np.uint32) | np.uint32(1 << 31)))
         for batch in bucketed(k_out, o_out, x_out, buckets):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.list_(pa.int32()))],
@@ -180,8 +186,16 @@ def _triggers(docs: DataFrame, length: int, buckets: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(scan, f"{BUCKETED_DDL}, {KNOWN_DDL}")
 
 
-def _live(triggers: DataFrame) -> DataFrame:
-    """``(doc_id, at)``: places of triggers that occur in several documents. Rows that the tasks knew of pass through."""
+def _hot_ids(bucket: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """Bucket and the low bytes of the hash, which are what a bucket knows of a trigger."""
+    return ((bucket.astype(np.uint64) << np.uint64(8 * KEY_BYTES)) | (h & np.uint64((1 << 8 * KEY_BYTES) - 1))).view(np.int64)
+
+
+def _live(triggers: DataFrame, most: int) -> DataFrame:
+    """``(doc_id, at)``: places of triggers that occur in several documents. Rows that the tasks knew of pass through.
+
+    Rows without ``doc_id`` name a trigger of more than ``most`` phrases in ``hot`` (``_hot_ids``).
+    """
 
     def find(group: pa.Table) -> pa.Table:
         known = group.filter(pc.is_null(group.column("blob"))).select(["doc_id", "at"]).combine_chunks()
@@ -189,6 +203,7 @@ def _live(triggers: DataFrame) -> DataFrame:
         counts = pc.fill_null(pc.list_value_length(at), 0).to_numpy()
         ids, places = [np.repeat(known.column("doc_id").to_numpy(), counts)], [at.flatten().to_numpy()]
         blobs = group.column("blob").drop_null()
+        hot = np.zeros(0, dtype=np.int64)
         if len(blobs):
             keys, owners, extra = unbucketed(blobs)
             order = np.lexsort((owners, keys))
@@ -201,9 +216,14 @@ def _live(triggers: DataFrame) -> DataFrame:
             rows = np.repeat(shared, sizes) & ~told
             ids.append(owners[rows])
             places.append(extra[rows].astype(np.int32))
-        return pa.table({"doc_id": pa.array(np.concatenate(ids), pa.int64()), "at": pa.array(np.concatenate(places), pa.int32())})
+            phrases = np.add.reduceat(np.where(told, extra & np.uint32((1 << 31) - 1), 1).astype(np.int64), starts)
+            many = keys[starts[shared & (phrases > most)]]
+            hot = _hot_ids(np.full(len(many), group.column("bucket")[0].as_py()), many)
+        ids, places = pa.array(np.concatenate(ids), pa.int64()), pa.array(np.concatenate(places), pa.int32())
+        columns = ((ids, pa.nulls(len(hot), pa.int64())), (places, pa.nulls(len(hot), pa.int32())), (pa.nulls(len(ids), pa.int64()), pa.array(hot)))
+        return pa.table([pa.chunked_array(c) for c in columns], names=["doc_id", "at", "hot"])
 
-    return triggers.groupBy("bucket").applyInArrow(find, "doc_id long, at int")
+    return triggers.groupBy("bucket").applyInArrow(find, "doc_id long, at int, hot long")
 
 
 def _packed(docs: DataFrame, *carry: str) -> DataFrame:
@@ -262,12 +282,29 @@ def _entries(blob: pa.Buffer) -> tuple[np.ndarray, ...]:
     return (*out, np.frombuffer(blob, np.uint8, offset=at))
 
 
-def _phrases(texts: DataFrame, length: int, buckets: int) -> DataFrame:
-    """``(doc_id, tag, packed, carried, at)`` -> phrases at the places, packed by bucket, and ranges that are repeated for sure."""
+def _strings(h, owner, tag, first, count, data, length: int) -> tuple[np.ndarray, ...]:
+    """Phrases as entries of one string each, under a hash of the string's halves in place of the trigger's."""
+    sizes = count.astype(np.int64) + (length - 1)
+    own = np.repeat(np.arange(len(count)), count)
+    inside = spread(np.zeros(len(count), dtype=np.int64), count.astype(np.int64))
+    at = (np.cumsum(sizes) - sizes)[own] + inside
+    half = length // 2
+    left, right = textbytes.span_hashes(data, at, at + half), textbytes.span_hashes(data, at + half, at + length)
+    key = textbytes.mixed(textbytes.mixed(left) ^ (right * np.uint64(0x9E3779B97F4A7C15)) ^ h[own])
+    name = textbytes.span_hashes(data, at, at + length)
+    return key, name, owner[own], tag[own], first[own] + inside, np.ones(len(own), dtype=count.dtype), data[spread(at, np.full(len(at), length))]
+
+
+def _phrases(texts: DataFrame, length: int, buckets: int, hot: np.ndarray) -> DataFrame:
+    """``(doc_id, tag, packed, carried, at)`` -> phrases at the places, packed by bucket, and ranges that are repeated for sure.
+
+    Phrases of the triggers in ``hot`` (sorted) go as single strings.
+    """
+
+    def flush(*parts) -> Iterator[pa.RecordBatch]:
+        yield from send(*[np.concatenate(x) for x in parts], hot)
 
-    def flush(h, name, owner, tag, first, count, data) -> Iterator[pa.RecordBatch]:
-        h, name, owner, tag, first, count = (np.concatenate(x) for x in (h, name, owner, tag, first, count))
-        data = np.concatenate(data)
+    def send(h, name, owner, tag, first, count, data, hot) -> Iterator[pa.RecordBatch]:
         sizes = count + (length - 1)
         starts = np.cumsum(sizes) - sizes
         order = np.lexsort((owner, name, h))
@@ -281,6 +318,18 @@ def _phrases(texts: DataFrame, length: int, buckets: int) -> DataFrame:
             )
         sent = order[owner[order] == least]
         bucket = ((h[sent] >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
+        if len(hot):
+            many = np.isin(_hot_ids(bucket, h[sent]), hot)
+            apart, sent, bucket = sent[many], sent[~many], bucket[~many]
+            none = np.zeros(0, dtype=np.int64)
+            for lo in range(0, len(apart), DICTIONARY_PHRASES):
+                own = apart[lo : lo + DICTIONARY_PHRASES]
+                text = data[spread(starts[own], sizes[own])]
+                yield from send(*_strings(h[own], owner[own], tag[own], first[own], count[own], text, length), none)
+            if not len(sent):
+                return
+        order = np.argsort(bucket, kind="stable")
+        sent, bucket = sent[order], bucket[order]
         cuts = np.append(runs(bucket), len(sent))
         ids, blobs = [], []
         for lo, hi in zip(cuts, cuts[1:]):
@@ -412,11 +461,15 @@ def cut(docs: DataFrame, length: int = 50, carry: tuple[str, ...] = (), as_text:
     that holds the columns named in ``carry``.
     """
     buckets = max(1, text_bytes(docs) // (TRIGGER_BYTES * KEYS_PER_BUCKET) + 1)
-    live = stored(_live(_triggers(docs, length, buckets)).groupBy("doc_id").agg(F.collect_list("at").alias("at")), "live")
+    live = _live(_triggers(docs, length, buckets), HOT_PHRASES)
+    live = stored(live.groupBy("doc_id").agg(F.collect_list("at").alias("at"), F.collect_list("hot").alias("hot")), "live")
+    named = live.filter("doc_id is null").select("hot").first()
+    hot = np.sort(np.array(named.hot if named else [], dtype=np.int64))
+    live = live.filter("doc_id is not null").drop("hot")
     # Both joins take all columns of the packed texts by the same key, so that one shuffle serves both.
     packed = _packed(docs, *carry)
     places = packed.join(live, "doc_id", "left").select("doc_id", "tag", "packed", "carried", "at")
-    ranges = _dictionary(_phrases(places, length, buckets), length)
+    ranges = _dictionary(_phrases(places, length, buckets, hot), length)
     ranges = ranges.groupBy("doc_id").agg(F.collect_list(F.struct("tag", "first", "end")).alias("ranges"))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

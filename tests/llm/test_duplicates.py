@@ -1,6 +1,9 @@
 """Similarity join and phrase dedup against brute force."""
 
+from collections import Counter
+
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from changeloom.llm import phrase_dedup, signature_join
@@ -75,6 +78,31 @@ def test_removed_bytes_equal_brute_force(spark, rows):
     assert got == want
 
 
+def test_hot_triggers_are_spread_over_buckets(spark, monkeypatch):
+    """A passage between words of their own in many documents: no group gets a trigger's phrases whole."""
+    rng, passage = np.random.default_rng(11), "what all of these documents have in common is this sentence, " * 2
+    own = lambda: "".join(chr(97 + x) for x in rng.integers(0, 26, 60))
+    rows = [(i, own() + passage[: 100 + i % 7] + own()) for i in range(90)] + [(i, own()) for i in range(90, 100)]
+    rows += [(40, passage + own()), (None, passage), (200, "\0" * 90), (201, "\0" * 70)]
+    monkeypatch.setattr(phrase_dedup, "HOT_PHRASES", 20)
+    monkeypatch.setattr(phrase_dedup, "KEYS_PER_BUCKET", 40)
+    monkeypatch.setattr(phrase_dedup, "DICTIONARY_PHRASES", 150)
+    sent, dictionary = [], phrase_dedup._dictionary
+
+    def watched(phrases, length):
+        blobs = phrases.filter("blob is not null").select("blob").collect()
+        for h, owner, *_ in (phrase_dedup._entries(pa.py_buffer(bytes(b.blob))) for b in blobs):
+            sent.extend(set(zip(h.tolist(), owner.tolist())))
+        return dictionary(phrases, length)
+
+    monkeypatch.setattr(phrase_dedup, "_dictionary", watched)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    key = lambda r: (r[0] is None, *[x or 0 for x in r[:1]], *r[1:])
+    got = sorted((tuple(r) for r in phrase_dedup.removals(docs).collect()), key=key)
+    assert got == sorted(brute.removed(rows, 50), key=key)
+    assert sent and max(Counter(h for h, _ in sent).values()) <= 20
+
+
 def test_removal_defined_cases(spark):
     long = "".join(chr(97 + i % 26) + str(i) for i in range(60))
     data = [(3, long), (1, long[10:90]), (3, "zz" + long), (None, long), (7, None), (8, ""), (9, "\0" * 120), (10, "\0" * 60)]
