@@ -7,7 +7,7 @@ ids; it is in no group and repeats nothing.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources.workspace import written
 from . import language_crf, phrase_dedup, piece_viterbi, signature_join, source_mix
@@ -30,16 +30,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each group of near copies, and one row of each id."""
-    comps = written(signature_join.similarity_components(docs, SHINGLE_WORDS, LEAST_SIMILARITY_PERCENT), "groups")
-    later = comps.filter("component_id < doc_id").select("doc_id").distinct()
-    kept = docs.join(later, "doc_id", "left_anti")
-    repeated = comps.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    """Keeps the row with the smallest id of each group of near copies. Rows that share an id are rows like others."""
+    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
     if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    own = Window.partitionBy("doc_id").orderBy(*[F.col(c) for c in docs.columns if c != "doc_id"])
-    one = kept.join(repeated, "doc_id", "left_semi").withColumn("_row", F.row_number().over(own)).filter("_row = 1")
-    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one.select(*docs.columns))
+        comps = written(signature_join.similarity_components(docs, SHINGLE_WORDS, LEAST_SIMILARITY_PERCENT), "groups")
+        return docs.join(comps.filter("component_id < doc_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
+    keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
+    rows = keyed.withColumn("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("_row")))
+    comps = signature_join.similarity_components(rows, SHINGLE_WORDS, LEAST_SIMILARITY_PERCENT)
+    comps = written(comps.filter("doc_id is not null").select(F.col("doc_id").alias("_row"), "component_id"), "groups")
+    first = comps.join(keyed.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min_by("_row", F.struct("doc_id", "_row")).alias("_first"))
+    later = comps.join(first, "component_id").filter("_row <> _first").select("_row")
+    return keyed.join(later, "_row", "left_anti").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

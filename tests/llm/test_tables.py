@@ -189,6 +189,14 @@ def test_repeated_ids_leave_one_row(spark):
     assert got == [("1", "a b c d e f"), ("2", "g h i j k"), ("None", "a b c")]
 
 
+def test_different_texts_of_one_id_stay(spark):
+    first, second, third = ("one two three four five six", "seven eight nine ten eleven twelve", "red green blue white black grey")
+    rows = [(1, first), (2, first), (2, second), (2, second), (3, third), (3, first), (None, first), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    got = sorted((str(r.doc_id), str(r.text)) for r in stages.near_duplicates(spark, docs, "").collect())
+    assert got == [("1", first), ("2", second), ("3", third), ("5", "None"), ("None", first)]
+
+
 def test_mixture_counts_rows_with_and_without_words_and_ids(spark):
     rows = [(None, f"w{k} " * (k + 1), "abc"[k % 3]) for k in range(30)]
     rows += [(k % 10, f"v{k} " * (30 - k), "abc"[k % 3]) for k in range(30)]
