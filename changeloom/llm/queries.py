@@ -9,7 +9,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import (
     ann_postings,
+    blas_search,
+    fim_index,
     language_crf,
+    noisy_channel,
     ordinal_quality,
     phrase_dedup,
     piece_viterbi,
@@ -35,7 +38,13 @@ def registered() -> dict[str, Query]:
 
 
 def oracle() -> dict[str, str]:
-    return {"op5_warc": warc.ORACLE, "op6_topk_histogram": topk_histogram.ORACLE, "op8_source_mix": source_mix.ORACLE}
+    return {
+        "op5_warc": warc.ORACLE,
+        "op6_topk_histogram": topk_histogram.ORACLE,
+        "op8_source_mix": source_mix.ORACLE,
+        "op12_blas_search": blas_search.ORACLE,
+        "op13_fim_index": fim_index.ORACLE,
+    }
 
 
 @query
@@ -102,3 +111,34 @@ def op10_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal_quality.rate(docs.select("doc_id", "text"), model).select(
         "doc_id", "expected_grade", "p_acceptable", "p_good", "grade", (F.col("p_good") >= 0.5).alias("selected")
     )
+
+
+@query
+def op11_noisy_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = noisy_channel.fit(docs, table(spark, sf_dir, "labels"))
+    return noisy_channel.score(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        noisy_channel.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"),
+    )
+
+
+@query
+def op12_blas_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blas_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=20)
+
+
+@query
+def op13_fim_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = fim_index.fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"), seed=42, rate=50, spm=80)
+    return cut.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fim_index.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
