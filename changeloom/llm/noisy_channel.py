@@ -56,8 +56,8 @@ SEPARATORS = " \t\n\v\f\r.-_*,'~/"
 EDGES = "@$"
 
 # Costs of readings, as negative logarithms.
-_AS_LETTER, _AS_ITSELF = 1.0, 6.0  # each look-alike
-_PARTED, _WIDE_JOINED = 3.0, 4.0  # a single separator that parts words, several that do not
+_AS_LETTER, _AS_ITSELF = 1.0, 9.0  # each look-alike
+_PARTED, _WIDE_JOINED = 5.0, 4.0  # a single separator that parts words, several that do not
 _REPEATED, _DOUBLE_AS_ONE = 0.5, 6.0  # three and more of a letter, two that mean one
 
 LETTERS = 28
