@@ -12,8 +12,8 @@ words. Its counts are those of all texts of the corpus, summed by Spark; smoothi
 *Decoding.* The Viterbi path through the lattice, exact over all pairs of last characters, many stretches at once. A stretch longer than
 ``WINDOW`` runs is decoded in windows that overlap by ``MARGIN``, of which the middles count.
 
-*Score.* Logistic regression on the distinct words of the restored text. Labels are learned from at most ``SAMPLE_ROWS`` rows,
-drawn by a hash of their id, only of ids with crc32 mod 3 not 1 (``held_out``). Which words count is decided over the sample by Spark: those in
+*Score.* Logistic regression on the words of the restored text and their stems, told apart by how often a text has them. Labels are learned from at most ``SAMPLE_ROWS`` rows,
+drawn by a hash of their id, only of ids with crc32 mod 3 not 1 (``held_out``). Which of these features count is decided over the sample by Spark: those in
 at least ``LEAST_ROWS`` rows whose labels they part with a likelihood ratio of ``LEAST_RATIO`` or more.
 
 Two passes over the corpus without a shuffle of texts: counts, then scores. Texts are walked in stretches.
@@ -41,6 +41,10 @@ from .stretches import spans, stretches
 SAMPLE_ROWS = 8_000
 LEAST_ROWS = 3
 LEAST_RATIO = 15.0
+#: Characters of a stem, which words of one root share.
+STEM = 5
+#: How often a text has to have a word or stem, for one feature each.
+LEVELS = (1, 2, 4)
 WINDOW = 256
 MARGIN = 32
 #: Runs of characters that are decoded at once, about.
@@ -82,6 +86,7 @@ _SPACE = _bytes(*" \t\n\v\f\r")
 _LETTER = _SYMBOL < _OTHER
 _LIKE, _EDGE = _bytes(*LOOKALIKES), _bytes(*EDGES)
 _PARTING = _bytes(*SEPARATORS) & ~_SPACE
+_BASE = np.uint64(2**64 - 4)
 _BEYOND = np.arange(256) >= 0x80
 _WORD = _LETTER | _BEYOND
 _CORE = _WORD | _bytes(*"0123456789")
@@ -378,37 +383,59 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 3 == 1, F.lit(False))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (A-Z as a-z) and each row's first word."""
+def signs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, sign)`` of all words (A-Z as a-z), and of the stems of those with ``STEM`` characters or more."""
     starts, ends, first = spans(_WORD[data], offsets)
-    return textbytes.span_hashes(textbytes.LOWER[data], starts, ends), first
+    lower, row = textbytes.LOWER[data], np.repeat(np.arange(len(offsets) - 1), np.diff(first))
+    chars = np.flatnonzero((data & 0xC0) != 0x80)
+    stem = np.append(chars, np.full(STEM, len(data) + 1))[np.searchsorted(chars, starts) + STEM]
+    stem[(stem > ends) & (np.searchsorted(chars, ends) - np.searchsorted(chars, starts) == STEM)] = 0
+    stem = np.where(stem == 0, ends, stem)
+    long = stem <= ends
+    words = textbytes.span_hashes(lower, starts, ends)
+    stems = textbytes.mixed(textbytes.span_hashes(lower, starts[long], stem[long]) + np.uint64(1))
+    return np.concatenate((row, row[long])), np.concatenate((words, stems)) & _BASE
 
 
-def _distinct(column: pa.Array, language: np.ndarray, known: dict[bytes, bytes], among: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
-    """``(row, word)``: distinct words of the restored texts, or places of those that are ``among`` some."""
-    rows, words = [], []
+def _features(column: pa.Array, language: np.ndarray, known: dict[bytes, bytes], among: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """``(row, feature)`` of the restored texts; with ``among`` only features of these.
+
+    A feature is a sign that a text has at least ``LEVELS[l]`` times: its hash, with l in the lowest bits.
+    """
+    rows, found, numbers = [], [], []
+    bases = None if among is None else np.unique(among & _BASE)
     for lo, hi, data, offsets in stretches(column, _between):
-        hashes, first = word_hashes(*restore(data, offsets, language, known))
-        row = np.repeat(np.arange(lo, hi), np.diff(first))
-        if among is not None:
-            place = np.searchsorted(among, hashes)
-            place[place == len(among)] = 0
-            fits = among[place] == hashes if len(among) else np.zeros(len(hashes), dtype=bool)
-            row, hashes = row[fits], place[fits]
-        order = np.lexsort((hashes, row))
-        row, hashes = row[order], hashes[order]
-        new = np.ones(len(row), dtype=bool)
-        new[1:] = (row[1:] != row[:-1]) | (hashes[1:] != hashes[:-1])
-        rows.append(row[new])
-        words.append(hashes[new])
+        row, sign = signs(*restore(data, offsets, language, known))
+        if bases is not None:
+            place = np.searchsorted(bases, sign)
+            place[place == len(bases)] = 0
+            fits = bases[place] == sign if len(bases) else np.zeros(len(sign), dtype=bool)
+            row, sign = row[fits], sign[fits]
+        row, sign, number = _summed(row + lo, sign, np.ones(len(row), dtype=np.int64))
+        rows.append(row)
+        found.append(sign)
+        numbers.append(number)
     if not rows:
-        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    row, word = np.concatenate(rows), np.concatenate(words)
-    order = np.lexsort((word, row))
-    row, word = row[order], word[order]
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+    row, sign, number = _summed(np.concatenate(rows), np.concatenate(found), np.concatenate(numbers))
+    row = np.concatenate([row[number >= least] for least in LEVELS])
+    feature = np.concatenate([sign[number >= least] | np.uint64(level) for level, least in enumerate(LEVELS)])
+    if among is not None and len(among):
+        place = np.searchsorted(among, feature)
+        place[place == len(among)] = 0
+        fits = among[place] == feature
+        row, feature = row[fits], feature[fits]
+    order = np.lexsort((feature, row))
+    return row[order], feature[order]
+
+
+def _summed(row: np.ndarray, sign: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    order = np.lexsort((sign, row))
+    row, sign, number = row[order], sign[order], number[order]
     new = np.ones(len(row), dtype=bool)
-    new[1:] = (row[1:] != row[:-1]) | (word[1:] != word[:-1])
-    return row[new], word[new]
+    new[1:] = (row[1:] != row[:-1]) | (sign[1:] != sign[:-1])
+    at = np.flatnonzero(new)
+    return row[at], sign[at], np.add.reduceat(number, at) if len(at) else number
 
 
 def train(row: np.ndarray, feature: np.ndarray, toxic: np.ndarray, features: int, rounds: int = 3000, decay: float = 0.01) -> tuple[np.ndarray, float]:
@@ -453,23 +480,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, bytes] = {}
         for batch in batches:
-            row, word = _distinct(batch.column(2), language, known, None)
+            row, found = _features(batch.column(2), language, known, None)
             bounds = np.searchsorted(row, np.arange(batch.num_rows + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(word.astype(np.uint64).view(np.int64)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["doc_id", "toxic", "words"])
+            lists = pa.ListArray.from_arrays(pa.array(bounds), pa.array(found.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), lists], names=["doc_id", "toxic", "features"])
 
-    known_rows = stored(rows.mapInArrow(extract, "doc_id long, toxic int, words array<long>"), "toxic-sample")
+    known_rows = stored(rows.mapInArrow(extract, "doc_id long, toxic int, features array<long>"), "toxic-sample")
     sums = known_rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("toxic")).first()
     n, toxic = sums["n"], sums["toxic"] or 0
     nothing = np.zeros(0, dtype=np.uint64)
     if not 0 < toxic < n:
         sure = 30.0 if toxic else -30.0
         return Model(language, nothing, np.zeros(0), sure)
-    per_word = known_rows.select(F.explode("words").alias("word"), "toxic").groupBy("word")
-    per_word = per_word.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).filter(F.col("n") >= LEAST_ROWS)
-    chosen = per_word.filter(_likelihood_ratio(F.col("n"), F.col("t"), n, toxic) >= LEAST_RATIO).select("word")
-    chosen = stored(chosen, "toxic-words")
-    words = np.sort(chosen.toArrow().column("word").to_numpy().view(np.uint64))
+    each = known_rows.select(F.explode("features").alias("feature"), "toxic").groupBy("feature")
+    each = each.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).filter(F.col("n") >= LEAST_ROWS)
+    chosen = each.filter(_likelihood_ratio(F.col("n"), F.col("t"), n, toxic) >= LEAST_RATIO).select("feature")
+    words = np.sort(chosen.toArrow().column("feature").to_numpy().view(np.uint64))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -511,8 +537,8 @@ def score(docs: DataFrame, model: Model, text: str = "text", restored: str | Non
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, known = chunk.value, {}
         for batch in batches:
-            row, word = _distinct(batch.column(0), own.language, known, own.words)
-            total = own.bias + np.bincount(row, own.weights[word], batch.num_rows)
+            row, found = _features(batch.column(0), own.language, known, own.words)
+            total = own.bias + np.bincount(row, own.weights[np.searchsorted(own.words, found)], batch.num_rows)
             columns = [pa.array(1 / (1 + np.exp(-np.clip(total, -30, 30))))]
             if restored:
                 columns.append(_restored(batch.column(0), own.language, known))

@@ -110,10 +110,10 @@ def test_texts_are_restored_in_place_and_in_stretches(spark, monkeypatch):
     assert out[5].plain == "stop here now " * 400
     assert {round(r.score, 6) for r in out.values()} == {round(1 / (1 + np.e), 6)}
     column = pa.array([t for _, t in rows], pa.string())
-    whole = nc._distinct(column, model.language, {}, None)
+    whole = nc._features(column, model.language, {}, None)
     real = nc.stretches
     monkeypatch.setattr(nc, "stretches", lambda column, fits: real(column, fits, 64))
-    assert all(np.array_equal(a, b) for a, b in zip(nc._distinct(column, model.language, {}, None), whole))
+    assert all(np.array_equal(a, b) for a, b in zip(nc._features(column, model.language, {}, None), whole))
 
 
 def test_disguised_words_of_held_out_rows(spark):
@@ -144,6 +144,21 @@ def test_odd_rows_and_labels(spark):
     assert nc.score(docs, nc.fit(docs, all_toxic)).filter("score > 0.999").count() in (0, 5)
 
 
+def test_signs_are_words_and_stems():
+    texts = ["Réeuxment réeux abc", "", "abcdef abcde 日本日本日本"]
+    data, offsets = textbytes.flat(pa.array(texts, pa.string()))
+    row, sign = nc.signs(data, offsets)
+
+    def named(text, stem):
+        raw = np.frombuffer(text.encode(), dtype=np.uint8)
+        h = textbytes.span_hashes(raw, np.array([0]), np.array([len(raw)]))
+        return int((textbytes.mixed(h + np.uint64(1)) if stem else h)[0]) & (2**64 - 4)
+
+    want = [(0, named(w, False)) for w in ("réeuxment", "réeux", "abc")] + [(0, named("réeux", True))] * 2
+    want += [(2, named(w, False)) for w in ("abcdef", "abcde", "日本日本日本")] + [(2, named("abcde", True))] * 2 + [(2, named("日本日本日", True))]
+    assert sorted(zip(row.tolist(), map(int, sign))) == sorted(want)
+
+
 def test_weights_are_at_the_maximum():
     rng = np.random.default_rng(5)
     x = rng.random((200, 6)) < 0.3
