@@ -87,15 +87,17 @@ def resolve_asof(
     probes: dict[str, dict[str, str]],
     salt_by: list[str] | None = None,
     rows_per_task: int = ROWS_PER_TASK,
+    may_be_hot: bool = True,
 ) -> DataFrame:
     """Add to each fact columns of the version of ``key`` that is valid at a position.
 
     ``probes`` maps a position column of the facts to ``{new column: version column}``. The
     valid version is the one with the greatest ``order`` not above the position; without one
-    the new columns are null. Keys are counted first, so ``facts`` and ``versions`` are best stored tables.
+    the new columns are null. Keys are counted first, so ``facts`` and ``versions`` are best stored tables;
+    who knows that no key has more than ``rows_per_task`` rows says so with ``may_be_hot=False``, which changes nothing else.
     Facts of a hot key are dealt by a hash of ``salt_by``.
     """
-    hot = hot_keys(versions, key, order, facts, rows_per_task)
+    hot = hot_keys(versions, key, order, facts, rows_per_task) if may_be_hot else None
     if hot is None:
         return _resolve_together(facts, versions, key, order, probes, [key])
     only = hot.select(key)

@@ -20,7 +20,11 @@ def accepted(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     return df.filter(_all_hold(rules))
 
 
+def broken(rules: dict[str, Column]) -> Column:
+    """Names of the rules that a row breaks."""
+    return F.array_compact(F.array(*[F.when(~_holds(ok), F.lit(name)) for name, ok in rules.items()]))
+
+
 def rejected(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Rows that break a rule, with ``reasons``: the names of the broken rules."""
-    broken = [F.when(~_holds(ok), F.lit(name)) for name, ok in rules.items()]
-    return df.filter(~_all_hold(rules)).withColumn("reasons", F.array_compact(F.array(*broken)))
+    return df.filter(~_all_hold(rules)).withColumn("reasons", broken(rules))

@@ -8,11 +8,11 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.decimals import MONEY, line_amount
-from ..sources.workspace import written
+from ..sources.workspace import together, written
 from .asof import BEGINNING, first_versions, resolve_asof
 from .calendar import flag_dates
 from .constraints import accepted, rejected
-from .skew import ROWS_PER_TASK
+from .skew import ROWS_PER_TASK, over_any
 from .surrogate import inferred_key
 
 FACT_COLUMNS = (
@@ -94,43 +94,44 @@ def moves(order_events: DataFrame, item_events: DataFrame) -> Moves:
     return Moves(order_events.select("order_id", "seq", "ts"), item_events.select("order_item_id", "seq", "ts"))
 
 
-def settle(lines: DataFrame, customers: DataFrame, products: DataFrame, touched: Moves, rows_per_task: int) -> DataFrame:
-    """Lines with ``first_at`` and ``created_at`` where both members are known.
+def settle(
+    waiting: DataFrame, customers: DataFrame, products: DataFrame, touched: Moves, rows_per_task: int, may_be_hot: bool
+) -> DataFrame | None:
+    """The lines without a member, with ``first_at`` and ``created_at`` where those that settle later do.
 
     A line whose member is unknown when its sides meet is tried again at every later event of
     its order or item. So it comes to be at the first such event at or after the first version of
-    each member. A line that never gets there stays as it is, and unresolved.
+    each member. None where no line does.
     """
     never = F.lit(2**63 - 1)
 
     def first(members: DataFrame, key: str, name: str) -> DataFrame:
-        return members.groupBy(key).agg(F.min("from_seq").alias(name))
+        own = members.join(waiting.select(key).distinct(), key, "left_semi")
+        return own.groupBy(key).agg(F.min("from_seq").alias(name))
 
     need = F.greatest("first_at", F.coalesce("_customer", never), F.coalesce("_product", never))
     late = (
-        lines.select("order_item_id", "order_id", "customer_id", "product_id", "first_at")
-        .join(first(customers, "customer_id", "_customer"), "customer_id", "left")
+        waiting.join(first(customers, "customer_id", "_customer"), "customer_id", "left")
         .join(first(products, "product_id", "_product"), "product_id", "left")
-        .withColumn("_need", need)
-        .filter((F.col("_need") > F.col("first_at")) & (F.col("_need") < never))
-        .select("order_item_id", "order_id", (-F.col("_need")).alias("_back"))
+        .withColumn("_back", -need)
+        .filter(F.col("_back") > -never)
+        .select(*waiting.columns, "_back")
     )
     late = written(late, "late")
     if late.isEmpty():
-        return lines
+        return None
     # The first event from a position on is the last one before it when the order is turned around.
     for table, key, name in ((touched.orders, "order_id", "_o"), (touched.items, "order_item_id", "_i")):
         own = table.join(late.select(key).distinct(), key, "left_semi")
         turned = own.select(key, (-F.col("seq")).alias("_at"), F.struct("seq", "ts").alias("_move"))
-        late = resolve_asof(late, turned, key, "_at", {"_back": {name: "_move"}}, ["order_item_id"], rows_per_task)
-    settled = late.select("order_item_id", F.least("_o", "_i").alias("_settled"))
-    settled = written(settled.filter("_settled is not null"), "settled")
-    return (
-        lines.join(settled, "order_item_id", "left")
-        .withColumn("first_at", F.coalesce("_settled.seq", "first_at"))
-        .withColumn("created_at", F.coalesce("_settled.ts", "created_at"))
-        .drop("_settled")
-    )
+        late = resolve_asof(
+            late, turned, key, "_at", {"_back": {name: "_move"}}, ["order_item_id"], rows_per_task, may_be_hot
+        )
+    settled = late.select("order_item_id", F.least("_o", "_i").alias("_settled")).filter("_settled IS NOT NULL")
+    moved = waiting.join(settled, "order_item_id", "left")
+    return moved.withColumns(
+        {"first_at": F.coalesce("_settled.seq", "first_at"), "created_at": F.coalesce("_settled.ts", "created_at")}
+    ).select(*waiting.columns)
 
 
 def resolve_lines(
@@ -142,34 +143,56 @@ def resolve_lines(
     product_source: DataFrame | None = None,
     price_mode: str = "reference",
     rows_per_task: int = ROWS_PER_TASK,
+    events: int | None = None,
 ) -> DataFrame:
     """Lines with ``customer``, ``product``, ``unity_price`` and ``total_amount``.
 
-    Members and unit price are those valid where the line came to be (``settle``) and stay so. With
+    Members and unit price are those valid where the line came to be and stay so. With
     ``price_mode`` "reference" the total follows the price at ``last_at``; with "consistent" it
     follows the unit price of the line. Members that never become known leave ``customer`` or
     ``product`` null.
 
-    The lines are stored first, as they are counted by key and read more than once.
+    All lines are resolved where their sides meet, and stored; those without a member then are tried again
+    (``settle``), and only they. Hot keys are looked for in one job over the stored lines, unless all rows there are, members
+    and the given number of order and item ``events``, are no more than a task may hold of one key.
     """
     if price_mode not in ("reference", "consistent"):
         raise ValueError(f"unknown price_mode {price_mode!r}")
+    # Read up to four times each.
     customers = members(customer_changes, "customer_id", [], customer_source)
     products = members(product_changes, "product_id", ["unity_price"], product_source)
-    lines = settle(written(lines, "lines"), customers, products, touched, rows_per_task)
-
-    def resolved(rows: DataFrame, versions: DataFrame, key: str, probes: dict[str, dict[str, str]]) -> DataFrame:
-        return resolve_asof(rows, versions, key, "from_seq", probes, ["order_item_id"], rows_per_task)
-
-    lines = resolved(lines, customers, "customer_id", {"first_at": {"customer": "surrogate"}})
+    spark = lines.sparkSession
+    customers, products = together(spark, lambda: written(customers, "members"), lambda: written(products, "members"))
+    at_most = None if events is None else events + customers.count() + products.count()
+    hot = {"customer_id": False, "product_id": False}
+    large = at_most is None or at_most > rows_per_task
+    if large:
+        lines = written(lines, "lines")
+        sides = [(lines, "customer_id"), (customers, "customer_id"), (lines, "product_id"), (products, "product_id")]
+        found = over_any(sides, rows_per_task)
+        hot = {"customer_id": any(found[:2]), "product_id": any(found[2:])}
     probes = {"first_at": {"product": "surrogate", "unity_price": "unity_price"}}
     if price_mode == "reference":
         probes["last_at"] = {"_last_price": "unity_price"}
-    lines = resolved(lines, products, "product_id", probes)
+
+    def resolved(rows: DataFrame) -> DataFrame:
+        for versions, key, wanted in (
+            (customers, "customer_id", {"first_at": {"customer": "surrogate"}}),
+            (products, "product_id", probes),
+        ):
+            rows = resolve_asof(rows, versions, key, "from_seq", wanted, ["order_item_id"], rows_per_task, hot[key])
+        return rows
+
+    first = written(resolved(lines), "resolved")
+    waiting = first.filter(~_known()).select(*lines.columns)
+    settled = settle(waiting, customers, products, touched, rows_per_task, large)
+    whole = first
+    if settled is not None:
+        whole = first.filter(_known()).unionByName(resolved(settled))
 
     paid = "_last_price" if price_mode == "reference" else "unity_price"
     return (
-        lines.withColumn("total_amount", line_amount(F.col("quantity"), F.col(paid)))
+        whole.withColumn("total_amount", line_amount(F.col("quantity"), F.col(paid)))
         .withColumn("unity_price", F.coalesce("unity_price", F.lit(0).cast(MONEY)))
         .drop("_last_price")
     )

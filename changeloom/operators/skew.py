@@ -29,6 +29,20 @@ def _over(df: DataFrame, key: str, name: str, rows_per_task: int) -> DataFrame:
     return counts.filter(F.col(name) > rows_per_task)
 
 
+def over_any(pairs: list[tuple[DataFrame, str]], rows_per_task: int = ROWS_PER_TASK) -> list[bool]:
+    """For each table and key, whether some key of it is hot: one job for all."""
+    counts = [
+        rows.select(F.lit(number).alias("n"), F.col(key).cast("long").alias("key")).filter("key IS NOT NULL")
+        for number, (rows, key) in enumerate(pairs)
+    ]
+    both = counts[0]
+    for rows in counts[1:]:
+        both = both.unionByName(rows)
+    most = both.groupBy("n", "key").agg(F.count(F.lit(1)).alias("rows")).groupBy("n").agg(F.max("rows").alias("rows"))
+    found = {row["n"]: row["rows"] > rows_per_task for row in most.collect()}  # a row per table
+    return [found.get(number, False) for number in range(len(pairs))]
+
+
 def hot_keys(
     versions: DataFrame,
     key: str,

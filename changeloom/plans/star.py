@@ -10,7 +10,8 @@ from ..operators import fact as facts, scd2
 from ..operators.skew import ROWS_PER_TASK
 from ..operators.state import staging_items, staging_orders
 from ..operators.surrogate import inferred_key
-from ..sources.changelog import events, numbered
+from ..sources import changelog
+from ..sources.workspace import workspace
 
 CUSTOMER_ATTRS = ["customer_name", "customer_address"]
 PRODUCT_ATTRS = ["product_name", "barcode"]
@@ -26,17 +27,13 @@ class ChangeTables(NamedTuple):
 
 
 def from_log(log: DataFrame, strict_zero: bool = False) -> ChangeTables:
-    """Events of a batch log; those without ``seq`` are numbered over all tables together."""
-    log = numbered(log)
-    return ChangeTables(*[events(log, table, strict_zero) for table in ChangeTables._fields])
-
-
-def stored(changes: ChangeTables, path: str) -> ChangeTables:
-    """The decoded events written as one table each: everything after reads columns, not JSON."""
-    spark = changes.orders.sparkSession
-    for name, rows in zip(ChangeTables._fields, changes):
-        rows.write.mode("overwrite").parquet(f"{path}/{name}")
-    return ChangeTables(*[spark.read.parquet(f"{path}/{name}") for name in ChangeTables._fields])
+    """Events of a batch log, decoded in one pass and stored; those without ``seq`` are numbered over all tables together."""
+    rows = changelog.stored(log, workspace(log.sparkSession, "decoded"), strict_zero)
+    accepted = rows.filter(F.col("verdict") == changelog.ACCEPTED)
+    seqs = accepted.agg(F.count_if(F.col("seq").isNull()).alias("without"), F.max("seq").alias("top")).first()
+    if seqs["without"]:
+        rows = changelog.numbered(accepted, seqs["top"] or 0)
+    return ChangeTables(*[changelog.table_of(rows, table) for table in ChangeTables._fields])
 
 
 def dimension(
@@ -141,5 +138,6 @@ def build_facts(
         product_source,
         price_mode,
         rows_per_task,
+        changes.orders.count() + changes.order_items.count(),
     )
     return facts.split_facts(resolved, dim_dates)

@@ -6,32 +6,54 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import changelog
 from ..sources.workspace import workspace
-from ..streaming import bounded, stateful, tables
+from ..streaming import bounded, counts, stateful, tables
 from ..streaming.ingest import StarStream
 from . import retail, star
 from .queries import query, shown_fact
 
-LOG_FILES = 4
+#: Events in a file of the log, and rows of the largest kept table in a bucket, at most about.
+FILE_EVENTS = 1_000_000
+BUCKET_ROWS = 1_000_000
+
+
+def _events(spark: SparkSession, sf_dir: str) -> int:
+    """Order and item events, of which there are most; from the tables' footers."""
+    return 2 * retail.table(spark, sf_dir, "orders").count() + retail.table(spark, sf_dir, "lineitem").count()
 
 
 def _written_log(spark: SparkSession, sf_dir: str, times: int = 1) -> str:
-    """The log in files that each hold events of all times and tables, ``times`` over."""
+    """The log in files that each hold events of all times and tables, ``times`` over; never fewer than four."""
     path = workspace(spark, "log")
-    log = retail.log(spark, sf_dir).repartition(LOG_FILES, "seq")
+    files = max(4, -(-_events(spark, sf_dir) // FILE_EVENTS))
+    log = retail.log(spark, sf_dir).repartition(files, "seq")
     for _ in range(times):
         log.write.mode("append").parquet(path)
     return path
 
 
+_roots: dict[tuple[str, str], str] = {}
+
+
+def _star_root(spark: SparkSession, sf_dir: str) -> str:
+    """The tables of one run over the log, which several queries read."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _roots:
+        _roots[key] = _star_stream(spark, sf_dir)
+    return _roots[key]
+
+
 def _star_stream(spark: SparkSession, sf_dir: str, times: int = 1, **options) -> str:
-    """Run the log through the stream to its end; the root of the written tables."""
+    """Run the log through the stream in two micro-batches a pass; the root of the written tables."""
     root = workspace(spark, "star")
-    log = changelog.stream_log(spark, _written_log(spark, sf_dir, times), files_per_batch=2)
+    events = _events(spark, sf_dir)
+    half = max(2, -(-events // FILE_EVENTS) // 2)
+    log = changelog.stream_log(spark, _written_log(spark, sf_dir, times), files_per_batch=half)
     stream = StarStream(
         root,
         retail.dim_dates(spark),
         retail.customer_source(spark, sf_dir),
         retail.product_source(spark, sf_dir),
+        buckets=max(2, -(-events // BUCKET_ROWS)),
         **options,
     )
     stream.start(log).awaitTermination()
@@ -40,20 +62,35 @@ def _star_stream(spark: SparkSession, sf_dir: str, times: int = 1, **options) ->
 
 @query
 def stream_fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown_fact(tables.read_facts(spark, _star_stream(spark, sf_dir)))
+    return shown_fact(tables.read_facts(spark, _star_root(spark, sf_dir)))
 
 
 @query
 def stream_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole log comes in twice, and the tables are compacted on the way."""
-    root = _star_stream(spark, sf_dir, times=2, compact_every=2)
+    """The whole log comes in twice, and the buckets are merged on the way."""
+    root = _star_stream(spark, sf_dir, times=2, parts=1)
     return shown_fact(tables.read_facts(spark, root))
 
 
 @query
 def stream_scd2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root = _star_stream(spark, sf_dir)
-    return star.dim_products(tables.read_changes(spark, root).products)
+    return star.dim_products(tables.read_changes(spark, _star_root(spark, sf_dir)).products)
+
+
+@query
+def stream_orders_by_delivery_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as the stream keeps it, without the fact table."""
+    return counts.orders_by_delivery_date_and_status(spark, _star_root(spark, sf_dir))
+
+
+@query
+def stream_pending_quantity_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.pending_quantity_by_product(spark, _star_root(spark, sf_dir))
+
+
+@query
+def stream_top_customers_by_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return counts.top_customers_by_orders(spark, _star_root(spark, sf_dir), limit=20)
 
 
 def _event_streams(spark: SparkSession, sf_dir: str, files: int | None) -> tuple[DataFrame, DataFrame]:

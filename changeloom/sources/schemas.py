@@ -42,6 +42,7 @@ KEPT = {
         order_item_id=_L, first_seq=_L, order_id=_L, product_id=_L, created_at=_TS,
         last_seq=_L, quantity=_I, updated_at=_TS,
     ),
+    "items_of_orders": _struct(order_id=_L, order_item_id=_L),
     # When each order and item was touched, for lines whose members come late.
     "order_moves": _struct(order_id=_L, seq=_L, ts=_TS),
     "item_moves": _struct(order_item_id=_L, seq=_L, ts=_TS),
@@ -51,7 +52,16 @@ KEPT = {
         delivery_date=_I, status=_S, quantity=_I, first_at=_L, last_at=_L, created_at=_TS,
         updated_at=_TS, customer=_L, product=_L, unity_price=_MONEY, total_amount=_MONEY, state=_S,
     ),
-    "commits": _struct(base=_L),
+    # Lines by member: the version they have and up to where a version would matter, or that they wait.
+    "settled": _struct(member=_L, order_item_id=_L, until=_L, version=_L),
+    "waiting": _struct(member=_L, order_item_id=_L, waits=T.BooleanType()),
+    # Lines of an order by what reports group them by; how many orders, or what quantity, a group has.
+    "order_counts": _struct(
+        order_id=_L, status=_S, delivery_date=_I, customer=_L, customer_id=_L, lines=_L
+    ),
+    "totals": _struct(
+        report=_S, status=_S, delivery_date=_I, member=_L, member_id=_L, amount=_L, lines=_L
+    ),
 }
 
 CORRUPT = "_corrupt_record"

@@ -5,7 +5,10 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -30,3 +33,16 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = workspace(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def together(spark: SparkSession, *jobs: Callable) -> list:
+    """Results of jobs that do not depend on each other, submitted at the same time: small ones leave most cores idle."""
+    with ThreadPoolExecutor(max(len(jobs), 1)) as pool:
+        running = [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]
+        return [one.result() for one in running]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever file system holds it; one that is not there is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

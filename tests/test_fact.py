@@ -179,13 +179,6 @@ def test_replay_of_the_whole_log_changes_nothing(spark):
     assert fact(spark, messages) == fact(spark, messages + messages)
 
 
-def test_stored_changes_lead_to_the_same_fact(spark, tmp_path):
-    messages = random_worlds(10)
-    changes = star.stored(star.from_log(world.log_frame(spark, messages)), str(tmp_path))
-    got = star.build_facts(changes, build_dim_dates(spark)).fact
-    assert world.fact_dict(got) == fact(spark, messages)
-
-
 def test_rejects_unknown_price_mode(spark):
     with pytest.raises(ValueError):
         build(spark, BASE, price_mode="other")

@@ -4,12 +4,13 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import world
 from changeloom.operators.calendar import build_dim_dates
-from changeloom.plans import star
+from changeloom.plans import reports, star
 from changeloom.sources import changelog
-from changeloom.streaming import bounded, stateful, tables
+from changeloom.streaming import bounded, counts, stateful, tables
 from changeloom.streaming.ingest import StarStream
 from world import customer, item, order, product, raw
 
@@ -23,6 +24,22 @@ def put_log(spark, folder, messages):
     world.log_frame(spark, messages).coalesce(1).write.mode("append").parquet(f"{folder}/log")
 
 
+def same_reports(spark, root, status="pending", dates=(None, None)):
+    """The reports that follow the stream are those over its fact table."""
+    fact = tables.read_facts(spark, root)
+    fact = spark.createDataFrame(fact.toArrow(), fact.schema)
+    return all(
+        getattr(counts, name)(spark, root, status, date_from=dates[0], date_to=dates[1], **options).collect()
+        == getattr(reports, name)(fact, status, date_from=dates[0], date_to=dates[1], **options).collect()
+        for name, options in (
+            ("orders_by_delivery_date_and_status", {}),
+            ("top_delivery_dates", {"limit": 4}),
+            ("pending_quantity_by_product", {}),
+            ("top_customers_by_orders", {"limit": 4}),
+        )
+    )
+
+
 def run(spark, stream, folder):
     log = changelog.stream_log(spark, f"{folder}/log", files_per_batch=1)
     stream.start(log).awaitTermination()
@@ -40,15 +57,17 @@ def test_random_log_in_random_pieces_with_restart_and_compaction(spark, folder):
     whole = list(messages)
     rng.shuffle(messages)
     cuts = [0, 60, 200, len(messages)]
-    stream = StarStream(
-        f"{folder}/star", build_dim_dates(spark), customers, products, compact_every=2
-    )
+    stream = StarStream(f"{folder}/star", build_dim_dates(spark), customers, products, buckets=3, parts=2)
     for low, high in zip(cuts, cuts[1:]):  # each piece is a stream run of its own
         put_log(spark, folder, messages[low:high])
         run(spark, stream, folder)
     put_log(spark, folder, messages[:150])  # and some of it comes again
     run(spark, stream, folder)
-    assert tables.last_commit(spark, stream.root) == (2, 3)
+    commit = tables.last_commit(spark, stream.root)
+    assert (commit.batch, commit.buckets, commit.high) == (3, 3, max(m[3] for m in whole))
+    # Buckets were merged, and what was merged is gone.
+    assert {one.base for one in tables.committed(spark, stream.root).look("orders").values()} <= {2, 3}
+    assert same_reports(spark, stream.root) and same_reports(spark, stream.root, "open", (20260105, 20260107))
     want = expected(spark, whole, customer_source=customers, product_source=products)
     assert len(want) > 30
     assert world.fact_dict(tables.read_facts(spark, stream.root)) == want
@@ -69,20 +88,104 @@ def test_late_members_moved_items_and_rejects(spark, folder):
         [product(15, 1, price="9.00")],  # known by the time of the first merge
         [item(5, 5, order_id=3)],  # the first event of item 5 after all: its order is another
     ]
-    stream = StarStream(f"{folder}/star", build_dim_dates(spark))
-    arrived, sizes = [], []
+    stream = StarStream(f"{folder}/star", build_dim_dates(spark), buckets=2)
+    arrived, sizes, waiting = [], [], []
     for piece in pieces:
         put_log(spark, folder, piece)
         run(spark, stream, folder)
         arrived += piece
         got = world.fact_dict(tables.read_facts(spark, stream.root))
         assert got == expected(spark, arrived)
+        assert same_reports(spark, stream.root)
         sizes.append(len(got))
+        waiting.append(tables.committed(spark, stream.root).merged("waiting").count())
     assert sizes == [0, 1, 1, 0]
+    # Both items miss both members; then customer 1 and product 1 are known, product 2 never is.
+    assert waiting == [4, 1, 1, 1]
     (bad,) = tables.read_quarantine(spark, stream.root).collect()
     assert (bad.table, bad.seq, bad.reasons) == ("orders", 22, ["malformed"])
 
 
+def ordered_world(size):
+    """Dimensions, then orders of one item each, in the order of events."""
+    messages = [customer(1, 1), product(2, 1)]
+    for n in range(size):
+        messages += [order(10 + 2 * n, n), item(11 + 2 * n, n, order_id=n)]
+    return messages
+
+
+def test_work_of_a_micro_batch_is_that_of_its_keys(spark, folder):
+    def opened(store, table):
+        return {name for name in store.read_folders if f"/{table}/" in name}
+
+    seen = []
+    for size in (20, 200):
+        stream = StarStream(f"{folder}/{size}", build_dim_dates(spark), buckets=64)
+        stream.apply(world.log_frame(spark, ordered_world(size)), 0)
+        last = 20 + 2 * size
+        later = [order(last, 3, status="DONE"), customer(last + 1, 1, address="Away"), item(last + 2, 9999, order_id=7)]
+        store = stream.apply(world.log_frame(spark, later), 1)
+        # Two orders, two items, one customer and product: so many buckets of each table, however many lines there are.
+        for table in ("orders", "order_items", "lines", "order_counts"):
+            assert 1 <= len({name.split("/bucket=")[1].split("/")[0] for name in opened(store, table)}) <= 3
+        # No line has a stake in a customer's version that comes after all events so far.
+        assert not opened(store, "settled")
+        fact = {r.order_item_id: r for r in tables.read_facts(spark, stream.root).collect()}
+        assert (fact[3].status, fact[3].customer, fact[7].customer, fact[9999].customer) == ("DONE", 1, 1, last + 1)
+        assert same_reports(spark, stream.root)
+        seen.append(len(store.read_folders))
+    assert seen[1] <= seen[0] + 4
+
+
+def test_merged_buckets_leave_one_generation(spark, folder):
+    stream = StarStream(f"{folder}/star", build_dim_dates(spark), buckets=2, parts=2)
+    arrived = [customer(1, 1), product(2, 1)]
+    stream.apply(world.log_frame(spark, arrived), 0)
+    for n in range(1, 5):
+        new = [order(10 * n, 1, status=f"S{n}"), item(10 * n + 1, 5, quantity=n), item(10 * n + 2, 50 + n, order_id=1)]
+        arrived += new
+        stream.apply(world.log_frame(spark, new), n)
+        assert world.fact_dict(tables.read_facts(spark, stream.root)) == expected(spark, arrived)
+    store = tables.committed(spark, stream.root)
+    for table in ("orders", "lines", "totals"):
+        for one in store.look(table).values():
+            assert len(one.batches) <= 3 and len(one.dead) <= 1
+
+
+def test_events_without_seq_get_numbers_of_their_own(spark, folder):
+    """One log position, two partitions with the same offsets, more rows than the offset's bits can tell apart."""
+    size = 50_000
+    log = spark.range(2 * size).select(
+        F.lit("s.customers").alias("topic"), (F.col("id") % 2).cast("int").alias("partition"), F.expr("id div 2").alias("offset"),
+        F.lit(None).cast("long").alias("seq"),
+        F.format_string('{"after": {"customer_id": %d, "customer_name": "n"}, "source": {"lsn": 7, "ts_ms": 5}}', "id").alias("value"),
+    )
+    stream = StarStream(f"{folder}/star", build_dim_dates(spark), buckets=2)
+    stream.apply(log.filter("id < 30"), 0)
+    stream.apply(log.filter("id >= 30"), 1)
+    stream.apply(log.filter("id >= 30"), 1)  # done already
+    got = tables.read_changes(spark, stream.root).customers.agg(F.count("*"), F.countDistinct("seq"), F.min("seq"), F.max("seq")).first()
+    assert tuple(got) == (2 * size, 2 * size, 1, 2 * size)
+    assert tables.last_commit(spark, stream.root).high == 2 * size
+
+
+def test_a_micro_batch_that_failed_is_done_again(spark, folder, monkeypatch):
+    pieces = [[order(10, 1), item(20, 5)], [customer(1, 1), product(2, 1)], [order(30, 1, status="DONE"), item(31, 6)]]
+    stream, arrived = StarStream(f"{folder}/star", build_dim_dates(spark), buckets=2, parts=1), []
+    for number, piece in enumerate(pieces):
+        log = world.log_frame(spark, piece)
+        with monkeypatch.context() as patch:
+            patch.setattr(tables.Store, "done", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+            with pytest.raises(OSError):
+                stream.apply(log, number)
+        if arrived:  # what is committed is still there
+            assert world.fact_dict(tables.read_facts(spark, stream.root)) == expected(spark, arrived)
+        stream.apply(log, number)
+        arrived += piece
+        assert world.fact_dict(tables.read_facts(spark, stream.root)) == expected(spark, arrived)
+        assert same_reports(spark, stream.root)
+
+
 def test_a_micro_batch_done_again_changes_nothing(spark, folder):
     stream = StarStream(f"{folder}/star", build_dim_dates(spark))
     log = world.log_frame(spark, [customer(1, 1), product(2, 1), order(10, 1), item(11, 5)])
