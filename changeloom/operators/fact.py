@@ -90,6 +90,13 @@ class Moves(NamedTuple):
     items: DataFrame
 
 
+class Events(NamedTuple):
+    """How many order and item events there are at most."""
+
+    orders: int
+    items: int
+
+
 def moves(order_events: DataFrame, item_events: DataFrame) -> Moves:
     return Moves(order_events.select("order_id", "seq", "ts"), item_events.select("order_item_id", "seq", "ts"))
 
@@ -143,7 +150,7 @@ def resolve_lines(
     product_source: DataFrame | None = None,
     price_mode: str = "reference",
     rows_per_task: int = ROWS_PER_TASK,
-    events: int | None = None,
+    events: Events | None = None,
 ) -> DataFrame:
     """Lines with ``customer``, ``product``, ``unity_price`` and ``total_amount``.
 
@@ -153,8 +160,8 @@ def resolve_lines(
     ``product`` null.
 
     All lines are resolved where their sides meet, and stored; those without a member then are tried again
-    (``settle``), and only they. Hot keys are looked for in one job over the stored lines, unless all rows there are, members
-    and the given number of order and item ``events``, are no more than a task may hold of one key.
+    (``settle``), and only they. Hot keys are looked for in one job over the stored lines, unless the numbers of members and
+    of ``events`` say that no key can have more rows than a task may hold.
     """
     if price_mode not in ("reference", "consistent"):
         raise ValueError(f"unknown price_mode {price_mode!r}")
@@ -163,13 +170,13 @@ def resolve_lines(
     products = members(product_changes, "product_id", ["unity_price"], product_source)
     spark = lines.sparkSession
     customers, products = together(spark, lambda: written(customers, "members"), lambda: written(products, "members"))
-    at_most = None if events is None else events + customers.count() + products.count()
-    hot = {"customer_id": False, "product_id": False}
-    large = at_most is None or at_most > rows_per_task
-    if large:
+    sides = {"customer_id": customers, "product_id": products}
+    # Rows of one key are at most all lines, of which there are no more than item events, and all versions.
+    hot = {key: events is None or events.items + rows.count() > rows_per_task for key, rows in sides.items()}
+    many_moves = events is None or events.items + events.orders > rows_per_task
+    if any(hot.values()):
         lines = written(lines, "lines")
-        sides = [(lines, "customer_id"), (customers, "customer_id"), (lines, "product_id"), (products, "product_id")]
-        found = over_any(sides, rows_per_task)
+        found = over_any([(side, key) for key, rows in sides.items() for side in (lines, rows)], rows_per_task)
         hot = {"customer_id": any(found[:2]), "product_id": any(found[2:])}
     probes = {"first_at": {"product": "surrogate", "unity_price": "unity_price"}}
     if price_mode == "reference":
@@ -185,7 +192,7 @@ def resolve_lines(
 
     first = written(resolved(lines), "resolved")
     waiting = first.filter(~_known()).select(*lines.columns)
-    settled = settle(waiting, customers, products, touched, rows_per_task, large)
+    settled = settle(waiting, customers, products, touched, rows_per_task, many_moves)
     whole = first
     if settled is not None:
         whole = first.filter(_known()).unionByName(resolved(settled))

@@ -193,6 +193,18 @@ _SNAPSHOT_SQL = """
 _FACT_SQL = _with(_FACT, _SHOWN_FACT)
 
 
+def _snapshot_fact() -> str:
+    """The fact where source rows of 1996-06-01 are versions too."""
+    at = "date_diff('day', DATE '1970-01-01', DATE '1996-06-01') * 100000000000000, TIMESTAMP '1996-06-01'"
+    sql = _with(_FIRST, _SHOWN_FACT, "first_customer_members", "first_product_members")
+    for name, rows in (
+        ("customer_changes", f"SELECT c_custkey, {at}, c_name, c_mktsegment FROM customer WHERE c_mktsegment <> 'MACHINERY'"),
+        ("product_changes", f"SELECT p_partkey, {at}, p_name, p_brand, p_retailprice::DECIMAL(13,5) FROM part WHERE p_type <> 'PROMO'"),
+    ):
+        sql = sql.replace(_CTE[name], f"{_CTE[name]} UNION ALL {rows}")
+    return sql
+
+
 def oracle() -> dict[str, str]:
     found = {
         "fact_build": _FACT_SQL,
@@ -260,10 +272,17 @@ def oracle() -> dict[str, str]:
         "pending_items": _with(
             ("item_events",),
             """SELECT order_item_id, arg_min(order_id, seq) AS order_id, arg_max(quantity, seq) AS quantity
-               FROM item_events WHERE ts < TIMESTAMP '1998-07-01'
-               GROUP BY order_item_id HAVING arg_min(order_id, seq) NOT IN
-                 (SELECT o_orderkey FROM orders WHERE o_orderdate < TIMESTAMP '1998-07-01')""",
+               FROM item_events GROUP BY order_item_id HAVING arg_min(order_id, seq) NOT IN
+                 (SELECT o_orderkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
         ),
+        "fact_with_snapshot": _snapshot_fact(),
+        "envelope_default_dates": """
+            SELECT o_orderkey AS order_id,
+                   CASE WHEN o_orderpriority IN ('1-URGENT', '2-HIGH') THEN strftime(o_orderdate, '%Y%m%d')
+                        ELSE strftime(o_orderdate::DATE - 3, '%Y%m%d') END::INT AS order_date,
+                   CASE WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+                        THEN strftime(o_orderdate::DATE - 3, '%Y%m%d') END::INT AS delivery_date
+            FROM orders""",
         "orders_by_delivery_status": _with(
             _FACT,
             """SELECT delivery_date, status, count(DISTINCT order_id) AS order_count FROM fact

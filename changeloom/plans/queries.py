@@ -18,8 +18,8 @@ from ..operators.asof import resolve_asof
 from ..operators.calendar import build_dim_dates, flag_dates
 from ..operators.constraints import rejected
 from ..operators.surrogate import dense_number
-from ..sources import changelog
-from ..sources.workspace import written
+from ..sources import changelog, snapshots
+from ..sources.workspace import workspace, written
 from . import reports, retail, star
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,6 +90,23 @@ def fact_from_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown_fact(built.fact)
 
 
+SNAPSHOT = dt.datetime(1996, 6, 1)
+
+
+@query
+def fact_with_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Source tables taken in the middle of the log are one more version of each member in them."""
+    changes = retail.changes(spark, sf_dir)
+    position = (SNAPSHOT - dt.datetime(1970, 1, 1)).days * retail.DAY
+    with_rows = {}
+    for table, rows in (("customers", retail.customer_source(spark, sf_dir)), ("products", retail.product_source(spark, sf_dir))):
+        path = workspace(spark, f"source-{table}")
+        rows.write.parquet(path)
+        snapshot = snapshots.as_changes(snapshots.from_parquet(spark, path, table), position, SNAPSHOT)
+        with_rows[table] = getattr(changes, table).unionByName(snapshot)
+    return shown_fact(star.build_facts(changes._replace(**with_rows), retail.dim_dates(spark)).fact)
+
+
 def _snapshot_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The tables as a snapshot: no seq, one log position beyond 32 TiB, three partitions a topic."""
 
@@ -185,18 +202,6 @@ def status_propagation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-PENDING_AT = dt.datetime(1998, 7, 1)
-
-
-def _staged_at(spark: SparkSession, sf_dir: str, time: dt.datetime) -> tuple[DataFrame, DataFrame]:
-    changes = retail.changes(spark, sf_dir)
-    then = F.col("ts") < F.lit(time).cast("timestamp_ntz")
-    return (
-        state.staging_orders(changes.orders.filter(then)),
-        state.staging_items(changes.order_items.filter(then)),
-    )
-
-
 @query
 def pending_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = retail.changes(spark, sf_dir)
@@ -206,7 +211,9 @@ def pending_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pending_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, items = _staged_at(spark, sf_dir, PENDING_AT)
+    """Items of orders whose messages are all set aside: those that come in with priority 4-NOT SPECIFIED have no status."""
+    orders = state.staging_orders(changelog.events(_damaged_order_log(spark, sf_dir), "orders"))
+    items = state.staging_items(retail.changes(spark, sf_dir).order_items)
     return facts.pending_items(orders, items).select("order_item_id", "order_id", "quantity")
 
 
@@ -465,6 +472,24 @@ def envelope_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.events(_damaged_order_log(spark, sf_dir), "orders").drop("ts")
 
 
+@query
+def envelope_default_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders without an order date, or with day zero, which read strictly is none: the day of the event stands in."""
+    priority = F.col("o_orderpriority")
+    day = F.when(priority == "2-HIGH", F.lit(0)).when(priority != "1-URGENT", F.unix_date(F.col("o_orderdate").cast("date")) - 3)
+    image = F.struct(
+        F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("customer_id"), day.alias("order_date"),
+        F.when(priority == "3-MEDIUM", F.lit(0)).otherwise(day).alias("delivery_date"), F.lit("new").alias("status"),
+    )
+    stamp = (F.unix_date(F.col("o_orderdate").cast("date")).cast("long") * 86_400_000).alias("ts_ms")
+    log = retail.table(spark, sf_dir, "orders").select(
+        F.lit(f"{retail.TOPIC_PREFIX}.orders").alias("topic"),
+        F.col("o_orderkey").alias("seq"),
+        F.to_json(F.struct(image.alias("after"), stamp)).alias("value"),
+    )
+    return changelog.events(log, "orders", strict_zero=True).select("order_id", "order_date", "delivery_date")
+
+
 @query
 def envelope_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = changelog.quarantine(_damaged_order_log(spark, sf_dir), "orders")

@@ -138,6 +138,6 @@ def build_facts(
         product_source,
         price_mode,
         rows_per_task,
-        changes.orders.count() + changes.order_items.count(),
+        facts.Events(changes.orders.count(), changes.order_items.count()),
     )
     return facts.split_facts(resolved, dim_dates)

@@ -1,10 +1,13 @@
-"""Current source tables, for members and prices that have no change event yet.
+"""Source tables, for members and prices that have no change event yet.
 
-Lookups against them are joins over the whole batch, never a query per row.
+Lookups against them are joins over the whole batch, never a query per row. A snapshot whose position in the log is known
+can also be taken as one more version of each of its members (``as_changes``).
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.decimals import MONEY
@@ -27,6 +30,16 @@ def from_parquet(spark: SparkSession, path: str, table: str) -> DataFrame:
     return _shaped(spark.read.parquet(path), table)
 
 
+def as_changes(snapshot: DataFrame, position: int, time: dt.datetime) -> DataFrame:
+    """A snapshot's rows as change events at the log position, and the time, that it was taken at.
+
+    Rows that the log has as well open a version at that position; it has the same attributes as the one before.
+    """
+    return snapshot.select(
+        F.lit(position).cast("long").alias("seq"), F.lit(time).cast("timestamp_ntz").alias("ts"), *snapshot.columns
+    )
+
+
 def from_jdbc(
     spark: SparkSession,
     url: str,
