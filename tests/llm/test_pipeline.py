@@ -63,3 +63,25 @@ def test_the_pipeline_equals_plain_stages(spark, monkeypatch, tmp_path):
     pieces = piece_viterbi.load(public_tokenizers.path(stages.PIECES_FILE))
     got = Counter((r.doc_id, r.text, r.decoded) for r in piece_viterbi.decode(corpus_pipeline.run(spark, str(tmp_path)), pieces).collect())
     assert got == {(i, texts[i], texts[i]): n for i, n in times.items() if n}
+
+
+def test_columns_with_names_of_the_stages_go_through(spark):
+    rows = [r[:5] for r in brute.documents(n=30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    names = ["_row", "_time", "_times", "_null", "_", "_lang", "_score", "extra_columns", "carried", "spans", "a.b"]
+    clashing = docs.selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names])
+    for stage in (stages.language, stages.near_duplicates, stages.repeated_passages, stages.mixture):
+        out = stage(spark, clashing, "")
+        assert out.columns == clashing.columns
+        got = sorted(map(str, (tuple(r) for r in out.collect())))
+        plain = sorted(map(str, (tuple(r) for r in stage(spark, docs, "").selectExpr("*", *[f"concat('{n}', doc_id) AS `{n}`" for n in names]).collect())))
+        assert got == plain and got
+    out = stages.pieces(spark, clashing.withColumn("ids", clashing.doc_id), "")
+    assert dict(out.dtypes)["ids"] == "array<int>" and set(names) <= set(out.columns) and out.count() == len(rows)
+
+
+def test_language_without_labels_keeps_what_has_letters(spark):
+    docs = spark.createDataFrame(
+        [(1, "some words", None), (2, "12 !", None), (3, None, None), (4, "日本", None)], "doc_id long, text string, lang string"
+    )
+    assert sorted(r.doc_id for r in stages.language(spark, docs, "").collect()) == [1, 4]
