@@ -16,8 +16,8 @@ Two documents link when the Jaccard similarity of their shingle sets is at least
    of nodes is left when it lies within one component, when its sizes are too far apart, or when the
    greatest overlap that its bitmaps allow is too small. Pairs of leaves that remain are compared exactly.
 
-Only links between different components are ever looked for, and a pair is reported by the first of
-the groups that it shares, so no group's pairs are listed.
+Only links between different components are ever looked for, and a pair has to pass the bitmaps to leave its
+group, so no group's pairs are listed; pairs that several groups leave are made one before they are compared.
 
 Defined cases: a null or blank text has no shingles and no links (``n_shingles`` 0). A row without id has
 its own ``n_shingles`` and a null component. Rows that repeat an id are one document with several
@@ -39,6 +39,8 @@ from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, components, runs, s
 BLOCK = 512
 FANOUT = 8
 STAR_ROUNDS = 2
+#: Trees go by bitmaps this many times smaller than those that pairs are checked by: a bit or two for each shingle.
+NARROW = 4
 #: Keys that a task holds before it packs them.
 HELD_KEYS = 500_000
 #: Keys of a text are about a third of its words, and a word has at least two bytes.
@@ -200,25 +202,27 @@ def _groups(blobs: DataFrame) -> DataFrame:
 
 
 def _profiles(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n, bits, set`` of the documents in ``ids``: size, bitmap and sorted shingles of each text."""
+    """``doc_id, n, bits, narrow, set`` of the documents in ``ids``: size, bitmap, the same over fewer bits, sorted shingles."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, data, offsets in textbytes.pieces(batch.column(1)):
                 sh, at = textbytes.shingles(data, offsets, width)
                 sets = [sh[a:b] for a, b in zip(at, at[1:])]
+                bits = [bitmap(s) for s in sets]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(lo, hi - lo),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([bitmap(s).tobytes() for s in sets], pa.binary()),
+                        pa.array([b.tobytes() for b in bits], pa.binary()),
+                        pa.array([folded(b, max(len(b) // NARROW, 1)).tobytes() for b in bits], pa.binary()),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n", "bits", "set"],
+                    names=["doc_id", "n", "bits", "narrow", "set"],
                 )
 
     own = docs.select("doc_id", "text").join(ids.select(F.col("owner").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return own.mapInArrow(scan, "doc_id long, n long, bits binary, set binary").filter("n > 0")
+    return own.mapInArrow(scan, "doc_id long, n long, bits binary, narrow binary, set binary").filter("n > 0")
 
 
 def _u64(value) -> np.ndarray:
@@ -315,10 +319,7 @@ def walk(one: Tree, two: Tree, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows(grp, p, q, block, owner, comp, groups, n, bits)`` -> pairs that the trees of two blocks leave.
-
-    ``groups``: all open groups of the owner; a pair is left to the smallest one that both have.
-    """
+    """``rows(grp, p, q, block, owner, comp, n, narrow)`` -> pairs that the trees of two blocks leave, each once."""
 
     def join(group: pa.Table) -> pa.Table:
         bounds = Bounds(percent)
@@ -327,7 +328,7 @@ def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         owner = group.column("owner").to_numpy()
         comp = group.column("comp").to_numpy()
         n = group.column("n").to_numpy()
-        raw = [_u64(x) for x in group.column("bits")]
+        raw = [_u64(x) for x in group.column("narrow")]
         width = min(len(x) for x in raw)
         bits = np.vstack([folded(x, width) for x in raw])
         trees = []
@@ -350,11 +351,8 @@ def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         sure = np.minimum(n[a] - np.bitwise_count(bits[a] & ~bits[b]).sum(axis=1), n[b] - np.bitwise_count(bits[b] & ~bits[a]).sum(axis=1))
         keep &= sure >= bounds.least_common(n[a], n[b])
         keep &= comp[a] != comp[b]
-        a, b, x, y = a[keep], b[keep], x[keep], y[keep]
-        own = group.column("grp")[0].as_py()
-        others = [np.asarray(v.values) for v in group.column("groups").combine_chunks()]
-        keep = np.array([np.intersect1d(others[s], others[t])[0] == own for s, t in zip(a, b)], dtype=bool)
-        return pa.table({"a": np.minimum(x, y)[keep], "b": np.maximum(x, y)[keep]})
+        x, y = x[keep], y[keep]
+        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
     return rows.groupBy("grp", "p", "q").applyInArrow(join, "a long, b long").distinct()
 
@@ -391,8 +389,7 @@ def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFram
     size = rows.groupBy("grp").agg(F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     size = size.filter("low <> high and members > 2").select("grp", F.expr(f"(members + {BLOCK} - 1) div {BLOCK}").alias("blocks"))
     rows = stored(rows.join(size, "grp"), "open")
-    owners = rows.groupBy("owner").agg(F.array_sort(F.collect_list("grp")).alias("groups"))
-    owners = owners.join(profiles.select(F.col("doc_id").alias("owner"), "n", "bits"), "owner")
+    owners = profiles.select(F.col("doc_id").alias("owner"), "n", "narrow")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("owner"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("grp", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "owner", "comp")
