@@ -151,13 +151,15 @@ def pieces(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float =
 def mix(docs: DataFrame, weights: Sequence[float] = (5, 2, 1), most: float = 3.0, seed: int = 7, key: str | None = None) -> DataFrame:
     """``doc_id, size, source_size, target, taken`` of each row: the words that the mix takes, repeats counted.
 
-    With ``key``, a unique column of ``docs``, it is added as ``row``.
+    What the schedule decides follows: ``n_slots`` and ``first_slot``, how often a slot reads the row and the first one that
+    does (null: none), and ``slot_words``, the most words that one slot reads of it. With ``key``, a unique column of ``docs``, it is added as ``row``.
     """
     read, known = pieces(docs, weights, most, seed, key)
-    taken = read.groupBy("row").agg(F.sum(F.col("end") - F.col("first")).alias("taken"))
-    return known.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"), *(["row"] if key else [])
-    )
+    words = F.col("end") - F.col("first")
+    taken = read.groupBy("row").agg(F.sum(words).alias("taken"), F.count("*").alias("n_slots"), F.min("slot").alias("first_slot"), F.max(words).alias("slot_words"))
+    none = F.lit(0).cast("long")
+    sums = [F.coalesce(c, none).alias(c) for c in ("taken", "n_slots", "slot_words")]
+    return known.join(taken, "row", "left").select("doc_id", "size", "source_size", "target", *sums, "first_slot", *(["row"] if key else []))
 
 
 ORACLE = r"""
@@ -179,14 +181,39 @@ settled AS (
   SELECT (total - before) / still AS level FROM levels
   WHERE (total - before) / still <= fills_at ORDER BY fills_at, src LIMIT 1),
 shares AS (
-  SELECT source, source_size, least(cap, weight * level) AS target, CAST(floor(least(cap, weight * level) + 0.5) AS BIGINT) AS take
+  SELECT src, source, source_size, least(cap, weight * level) AS target, CAST(floor(least(cap, weight * level) + 0.5) AS BIGINT) AS take
   FROM levels, settled),
+-- The schedule: slot j belongs to the source whose stretch of the cumulative targets holds frac(j * golden ratio).
+stretches AS (
+  SELECT src, (sum(target) OVER (ORDER BY src) - target) / sum(target) OVER () AS low,
+         CASE WHEN lead(src) OVER (ORDER BY src) IS NULL THEN 2.0 ELSE sum(target) OVER (ORDER BY src) / sum(target) OVER () END AS high
+  FROM shares WHERE target > 0),
+points AS (
+  SELECT slot, (CAST(slot AS DOUBLE) * CAST(0.6180339887498949 AS DOUBLE)) % CAST(1 AS DOUBLE) AS point
+  FROM (SELECT unnest(range((SELECT greatest(count(*) * 64, sum(source_size) // 8192)::BIGINT FROM shares))) AS slot)),
+owned AS (SELECT slot, src FROM points JOIN stretches ON point >= low AND point < high),
+turns AS (
+  SELECT slot, src, row_number() OVER (PARTITION BY src ORDER BY slot) - 1 AS turn FROM owned
+  UNION ALL
+  SELECT src + (SELECT count(*) FROM points), src, 0 FROM shares WHERE target >= 0.5 AND src NOT IN (SELECT src FROM owned)),
+blocks AS (
+  SELECT src, greatest(1, (any_value(take) + count(*) - 1) // count(*)) AS block FROM shares JOIN turns USING (src) GROUP BY src),
 placed AS (
-  SELECT doc_id, size, source_size, target, take,
+  SELECT row_number() OVER () AS row, doc_id, size, src, source_size, target, take,
          sum(size) OVER (PARTITION BY sized.source ORDER BY shuffled, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS start
-  FROM sized JOIN shares ON sized.source IS NOT DISTINCT FROM shares.source)
-SELECT doc_id, size, source_size, target,
-       CAST(CASE WHEN source_size = 0 THEN 0
-            ELSE (take // source_size) * size + greatest(0, least(start + size, take % source_size) - start) END AS BIGINT) AS taken
-FROM placed
+  FROM sized JOIN shares ON sized.source IS NOT DISTINCT FROM shares.source),
+rounds AS (
+  SELECT row, src, size, take, round * source_size + start AS lo, least(round * source_size + start + size, take) AS hi
+  FROM (SELECT *, unnest(range(0, greatest(0, (take - 1) // greatest(source_size, 1)) + 1)) AS round FROM placed WHERE size > 0)
+  WHERE round * source_size + start < take),
+reads AS (
+  SELECT row, src, block, lo, hi, unnest(range(CAST(lo // block AS BIGINT), CAST((hi - 1) // block + 1 AS BIGINT))) AS turn
+  FROM rounds JOIN blocks USING (src)),
+scheduled AS (
+  SELECT row, sum(least(hi, (turn + 1) * block) - greatest(lo, turn * block)) AS taken, count(*) AS n_slots, min(slot) AS first_slot,
+         max(least(hi, (turn + 1) * block) - greatest(lo, turn * block)) AS slot_words
+  FROM reads JOIN turns USING (src, turn) GROUP BY row)
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, CAST(coalesce(n_slots, 0) AS BIGINT) AS n_slots,
+       CAST(coalesce(slot_words, 0) AS BIGINT) AS slot_words, CAST(first_slot AS BIGINT) AS first_slot
+FROM placed LEFT JOIN scheduled USING (row)
 """
