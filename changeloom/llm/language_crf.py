@@ -30,6 +30,10 @@ WORD_CHARS = 16
 FEATURE_BITS = 16
 LEXICON_WORDS = 2000
 SEGMENT = 128
+#: With more languages than this, documents are not cut into segments.
+MOST_CUT_LANGUAGES = 32
+#: Numbers in the matrices that are held at once.
+HELD_PRODUCTS = 1 << 21
 UND = "und"
 
 _WORD = re.compile(r"[^\W\d_]{1,%d}" % WORD_CHARS)
@@ -96,72 +100,91 @@ def _exp(scores: np.ndarray) -> np.ndarray:
 def posteriors(word_type: np.ndarray, doc: np.ndarray, emission: np.ndarray, model: Model) -> np.ndarray:
     """Language probabilities of each word, by forward-backward over each document's words.
 
-    Documents are cut into segments of fixed length. Per segment, products of transition and
-    emission matrices are carried for every entering language, all segments at once; the segments
-    of a document are then chained, which gives exactly the messages of the unsegmented chain.
+    Documents are cut into segments of fixed length, and all segments go forward and backward in
+    step, as vectors: memory is words times languages. What enters a segment of a longer document comes
+    first, from products of transition and emission matrices of the segments between its ends, which
+    gives exactly the messages of the unsegmented chain. With many languages these products
+    cost more than going through a document word by word, so that documents are not cut.
     """
     n, size = len(word_type), emission.shape[1]
     if not n:
         return np.zeros((0, size))
     heads = np.flatnonzero(np.concatenate(([True], doc[1:] != doc[:-1])))
     lengths = np.diff(np.append(heads, n))
-    position = np.arange(n) - np.repeat(heads, lengths)
-    parts = (lengths + SEGMENT - 1) // SEGMENT
-    first_part = np.concatenate(([0], np.cumsum(parts)))[:-1]
-    part = np.repeat(first_part, lengths) + position // SEGMENT
-    step = position % SEGMENT
-    count = int(parts.sum())
-    # Segments from the longest to the shortest, so that those still running at a step are the first ones.
-    filled = np.minimum(np.repeat(lengths, parts) - (np.arange(count) - np.repeat(first_part, parts)) * SEGMENT, SEGMENT)
-    order = np.argsort(-filled, kind="stable")
-    place = np.empty(count, dtype=np.int64)
-    place[order] = np.arange(count)
-    part, first_part_at = place[part], place[first_part]
-    longest = int(filled.max())
-    active = np.searchsorted(-filled[order], -np.arange(longest), side="left")
-    grid = np.zeros((longest, count), dtype=np.int64)
-    grid[step, part] = word_type
+    segment = SEGMENT if size <= MOST_CUT_LANGUAGES else int(lengths.max())
+    parts = (lengths + segment - 1) // segment
+    first = np.concatenate(([0], np.cumsum(parts)))[:-1]
+    base = np.repeat(heads, parts) + (np.arange(int(parts.sum())) - np.repeat(first, parts)) * segment
+    filled = np.diff(np.append(base, n))
     table = _exp(emission)
     move, start = np.exp(model.transitions - model.transitions.max()), np.exp(model.start - model.start.max())
-    identity = np.eye(size)
-
-    forward = np.broadcast_to(identity, (count, size, size)).copy()
-    at_step = np.empty((longest, count, size, size))
-    for t in range(longest):
-        k = active[t]
-        moved = (forward[:k].reshape(-1, size) @ move).reshape(k, size, size)
-        if t == 0:  # the first word of a document follows the start scores, whatever entered
-            moved[first_part_at] = identity * start
-        moved *= table[grid[t, :k]][:, None, :]
-        if t % 4 == 3:
-            moved /= moved.sum(axis=(1, 2), keepdims=True)
-        forward[:k] = at_step[t, :k] = moved
-    # Messages from the right are kept transposed: entering language last.
-    backward = np.broadcast_to(identity, (count, size, size)).copy()
-    after = np.empty((longest, count, size, size))  # from the word at t to what leaves the segment
-    for t in range(longest - 1, -1, -1):
-        k = active[t]
-        after[t, :k] = backward[:k]
-        moved = ((backward[:k] * table[grid[t, :k]][:, None, :]).reshape(-1, size) @ move.T).reshape(k, size, size)
-        if t % 4 == 3:
-            moved /= moved.sum(axis=(1, 2), keepdims=True)
-        backward[:k] = moved
-    forward, backward = forward[place], backward[place]
-
-    # Messages that enter each segment from the left and from the right, document by document in step.
-    left, right = np.ones((count, size)), np.ones((count, size))
-    for k in range(1, int(parts.max())):
-        own = first_part[parts > k] + k
-        left[own] = np.einsum("ni,nij->nj", left[own - 1], forward[own - 1])
-        left[own] /= left[own].sum(axis=1, keepdims=True)
-    for k in range(int(parts.max()) - 2, -1, -1):
-        own = first_part[parts > k + 1] + k
-        right[own] = np.einsum("nji,nj->ni", backward[own + 1], right[own + 1])
-        right[own] /= right[own].sum(axis=1, keepdims=True)
-    left, right = left[order], right[order]
-    alpha = np.einsum("ni,nij->nj", left[part], at_step[step, part])
-    beta = np.einsum("nji,nj->ni", after[step, part], right[part])
-    out = alpha * beta
+
+    def forward(own: np.ndarray, entering: np.ndarray, heading: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+        """What leaves the segments ``own``, the longest of which come first; ``heading``: those that begin a document."""
+        a = entering.copy()
+        running = np.searchsorted(-filled[own], -np.arange(filled[own[0]]), side="left")
+        for t, k in enumerate(running):
+            # The first word of a document follows the start scores, whatever entered.
+            moved = np.where(heading[:k, None], start, a[:k] @ move) if t == 0 else a[:k] @ move
+            moved *= table[word_type[base[own[:k]] + t]]
+            moved /= moved.sum(axis=1, keepdims=True)
+            a[:k] = moved
+            if out is not None:
+                out[base[own[:k]] + t] = moved
+        return a
+
+    def backward(own: np.ndarray, entering: np.ndarray, out: np.ndarray | None = None) -> np.ndarray:
+        """The same from the right; ``out`` is multiplied by the messages."""
+        b = entering.copy()
+        running = np.searchsorted(-filled[own], -np.arange(filled[own[0]]), side="left")
+        for t in range(len(running) - 1, -1, -1):
+            k = running[t]
+            at = base[own[:k]] + t
+            if out is not None:
+                out[at] *= b[:k]
+            moved = (b[:k] * table[word_type[at]]) @ move.T
+            b[:k] = moved / moved.sum(axis=1, keepdims=True)
+        return b
+
+    def products(own: np.ndarray) -> np.ndarray:
+        """For whole segments ``own``, what they make of any message that enters."""
+        p = np.broadcast_to(np.eye(size), (len(own), size, size)).copy()
+        for t in range(segment):
+            p = (p.reshape(-1, size) @ move).reshape(p.shape) * table[word_type[base[own] + t]][:, None, :]
+            if t % 4 == 3:
+                p /= p.sum(axis=(1, 2), keepdims=True)
+        return p
+
+    left, right = np.ones((len(base), size)), np.ones((len(base), size))
+    cut = np.flatnonzero(parts > 1)
+    if len(cut):
+        # The ends of a document need vectors only. The segments between go in blocks, so that few matrices are held.
+        heads_of, tails = first[cut], first[cut] + parts[cut] - 1
+        tails = tails[np.argsort(-filled[tails], kind="stable")]
+        left[heads_of + 1] = forward(heads_of, left[heads_of], np.ones(len(cut), dtype=bool))
+        right[tails - 1] = backward(tails, right[tails])
+        inner = np.ones(len(base), dtype=bool)
+        inner[first] = inner[first + parts - 1] = False
+        inner = np.flatnonzero(inner)
+        block = max(1, HELD_PRODUCTS // (size * size))
+        for lo in range(0, len(inner), block):
+            own = inner[lo : lo + block]
+            for s, p in zip(own, products(own)):
+                x = left[s] @ p
+                left[s + 1] = x / x.sum()
+        for lo in range((len(inner) - 1) // block * block, -1, -block) if len(inner) else ():
+            own = inner[lo : lo + block]
+            for s, p in zip(own[::-1], products(own)[::-1]):
+                x = p @ right[s]
+                right[s - 1] = x / x.sum()
+
+    # Segments from the longest to the shortest, so that those still running at a step are the first ones.
+    order = np.argsort(-filled, kind="stable")
+    heading = np.zeros(len(base), dtype=bool)
+    heading[first] = True
+    out = np.empty((n, size))
+    forward(order, left[order], heading[order], out)
+    backward(order, right[order], out)
     return out / out.sum(axis=1, keepdims=True)
 
 
@@ -191,8 +214,8 @@ def _train_batch(ids, mask, sequences, labels, weights, move, start):
     post /= post.sum(axis=2, keepdims=True)
     pair = np.zeros((size, size))
     for t in range(1, steps):
-        p = alpha[t - 1][:, :, None] * m * (e[:, t] * beta[t])[:, None, :]
-        pair += (p / p.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        a, b = alpha[t - 1], e[:, t] * beta[t]
+        pair += (a / ((a @ m) * b).sum(axis=1, keepdims=True)).T @ b * m
     gold_pair = np.zeros((size, size))
     np.add.at(gold_pair, (labels[:, :-1].ravel(), labels[:, 1:].ravel()), 1)
     delta = np.eye(size)[labels] - post.transpose(1, 0, 2)
@@ -241,20 +264,22 @@ def train(texts: list[str], langs: list[str], steps: int = 128, run: int = 24, e
 def fit(docs: DataFrame, sample_rows: int = 1200, sample_chars: int = 20_000) -> Model:
     """Learns from about ``sample_rows`` labelled rows of the learning folds, evenly from the languages.
 
-    The bounds are on what is learned from alone: rows are taken by a hash of their id, those with
-    more than ``sample_chars`` characters are left out, and the driver holds at most twice that.
+    The bounds are on what is learned from alone: rows are taken by a hash of their id, of texts with
+    more than ``sample_chars`` characters so many from a hashed place on, and the driver holds at most twice the rows.
+    A language needs a row at least: of more than ``sample_rows`` languages the most frequent are learned.
     """
     usable = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(500).collect()
+    usable = usable.filter(F.col("text").rlike(r"\p{L}"))
+    counts = usable.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample_rows).collect()
     if not counts:
         return train([], [])
     each = max(sample_rows // len(counts), 1)
     share = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, each / r["count"]))])
     drawn = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
+    place = F.pmod(F.xxhash64("doc_id", F.lit(23)), F.greatest(F.length("text") - sample_chars + 1, F.lit(1))).cast("int") + 1
     rows = (
         usable.filter(F.coalesce(drawn < share[F.col("lang")], F.lit(False)))
-        .filter(F.length("text") <= sample_chars)
-        .select("lang", "text", F.xxhash64("doc_id", F.lit(17)).alias("h"), "doc_id")
+        .select("lang", F.substr("text", place, F.lit(sample_chars)).alias("text"), F.xxhash64("doc_id", F.lit(17)).alias("h"), "doc_id")
         .orderBy("h", "doc_id", "text")
         .limit(2 * sample_rows)
         .collect()
@@ -290,9 +315,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", lang_out: str =
             column = batch.column(batch.schema.get_field_index(text))
             size = pc.fill_null(pc.utf8_length(column), 0).to_numpy(zero_copy_only=False)
             ends = np.cumsum(size)
-            lo = 0
+            lo, most = 0, _PIECE_CHARS * 4 // max(len(model.languages), 4)
             while lo < batch.num_rows:
-                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + _PIECE_CHARS, side="right")))
+                hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
                 part = batch.slice(lo, hi - lo)
                 if model.languages:
                     langs, scores = _predict(part.column(batch.schema.get_field_index(text)).to_pylist(), model)
