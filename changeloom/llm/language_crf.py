@@ -11,7 +11,7 @@ that the transitions are learned from sequences that switch.
 Defined cases: a null text, or one without a letter, is ``und`` with score 0. Words are maximal runs
 of letters, cut every 16 letters. Rows are independent: repeated rows get equal results, other columns
 pass through, an empty table gives an empty one. A row without ``doc_id`` is not learned from and not held out.
-Without a labelled row to learn from, everything is ``und``.
+Without a labelled row to learn from, everything is ``und``. Memory is a text's words times the languages.
 """
 
 from __future__ import annotations
