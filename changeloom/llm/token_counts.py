@@ -3,8 +3,8 @@
 Texts of at most ``stretch`` characters are encoded as they are. Longer ones are cut into stretches that
 overlap, which are encoded anywhere in the cluster, with the offsets of their tokens. Two
 neighbours are spliced at a token that both have in the overlap, at the same place: what is before it comes from the
-left one, what is after it from the right one. Where they have none in common, the two stretches become
-one, so the overlap widens until they agree, at worst to the whole text.
+left one, what is after it from the right one. Where they have none in common, the overlap is doubled, again and
+again; when it would be more than the right stretch, the two become one, at worst the whole text.
 
 Why a common token proves the splice: merging goes by rank, and a merge needs two neighbouring
 symbols. In the left stretch no merge crossed the token's start, in the right one none crossed its end,
@@ -120,7 +120,7 @@ def _spliced(stretches: DataFrame, path: str) -> DataFrame:
         size = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
         encoded = written(_encoded(bounded.repartition(size, "row", "part"), path), "encoded")
         common = F.array_intersect(F.filter("tail", lambda k: k >= 0), F.col("next"))
-        pairs = encoded.withColumn("next", F.lead("head").over(order)).withColumn("next_part", F.lead("part").over(order))
+        pairs = encoded.withColumn("next", F.lead("head").over(order))
         pairs = pairs.withColumn("common", F.when(F.col("next").isNotNull(), common)).withColumn("splice", F.try_element_at("common", F.expr("cast(size(common) div 2 + 1 as int)")))
         after = F.size("tail") - F.array_position("tail", F.col("splice"))
         pairs = pairs.withColumn("dropped", F.when(F.col("next").isNull(), 0).otherwise(after + F.array_position("next", F.col("splice"))))
@@ -128,23 +128,46 @@ def _spliced(stretches: DataFrame, path: str) -> DataFrame:
             pairs.groupBy("row", "doc_id", "n_bytes").agg(
                 F.sum("n").alias("n"), F.sum("dropped").alias("dropped"),
                 F.max((F.col("next").isNotNull() & F.col("splice").isNull()).cast("int")).alias("apart"),
-                F.collect_list(F.when(F.col("next").isNotNull() & F.col("splice").isNull(), F.col("next_part"))).alias("failed"),
             ),
             "spliced",
         )
         good = totals.filter("apart = 0").select("row", "doc_id", "n_bytes", (F.col("n") - F.col("dropped")).alias("n_tokens"))
         done = good if done is None else done.unionByName(good)
-        again = totals.filter("apart = 1").select("row", "failed")
+        again = totals.filter("apart = 1").select("row")
         if again.isEmpty():
             return done
-        # A stretch that did not agree with the one before it joins it.
-        joined = stretches.join(again, "row").withColumn("head", (~F.array_contains("failed", F.col("part"))).cast("int"))
-        joined = joined.withColumn("own", F.sum("head").over(order))
-        merged = joined.groupBy("row", "doc_id", "n_bytes", F.col("own").alias("part")).agg(
-            F.min("start").alias("start"), F.min("at").alias("at"), F.sort_array(F.collect_list(F.struct("start", "text"))).alias("texts")
-        )
-        whole = F.aggregate("texts", F.lit(""), lambda acc, x: F.concat(acc, F.substr(x["text"], F.length(acc) - (x["start"] - F.col("start")) + 1)))
-        stretches = written(merged.withColumn("text", whole.cast("string")).drop("texts"), "stretches")
+        failed = pairs.filter(F.col("next").isNotNull() & F.col("splice").isNull()).select("row", "part")
+        stretches = written(_widened(stretches.join(again, "row"), failed), "stretches")
+
+
+def _widened(stretches: DataFrame, failed: DataFrame) -> DataFrame:
+    """``stretches`` where those in ``failed(row, part)``, which have no token in common with the next one, reach twice as far into it.
+
+    Where that is further than the next one's own text goes, the two become one; of a run of such, every other one,
+    so that texts grow by doubling.
+    """
+    order = Window.partitionBy("row").orderBy("part")
+    places = stretches.select("row", "part", "start", F.length("text").alias("chars"))
+    places = places.withColumn("own", F.coalesce(F.lead("start").over(order) - F.col("start"), F.col("chars"))).withColumn("reach", F.col("chars") - F.col("own"))
+    places = places.withColumn("next_own", F.lead("own").over(order)).withColumn("next_part", F.lead("part").over(order))
+    places = places.join(failed.withColumn("failed", F.lit(True)), ["row", "part"], "left")
+    places = places.withColumn("wider", F.coalesce(F.col("failed") & (2 * F.col("reach") <= F.col("next_own")) & (F.col("reach") > 0), F.lit(False)))
+    places = places.withColumn("ends", F.coalesce(F.col("failed"), F.lit(False)) & ~F.col("wider"))
+    places = places.withColumn("run", F.sum((~F.col("ends")).cast("int")).over(order))
+    place = F.row_number().over(Window.partitionBy("row", "run", "ends").orderBy("part"))
+    places = places.withColumn("joins", F.col("ends") & (place % 2 == 1))
+    places = places.withColumn("into", F.when(F.lag("joins").over(order), F.lag("part").over(order)).otherwise(F.col("part")))
+    places = written(places.select("row", "part", F.col("own").cast("int").alias("own"), (2 * F.col("reach")).cast("int").alias("wide"), "next_part", "wider", "joins", "into"), "places")
+
+    after = stretches.select("row", F.col("part").alias("next_part"), F.col("text").alias("next_text"))
+    more = places.filter("wider").join(after, ["row", "next_part"]).select("row", "part", F.substr("next_text", F.lit(1), F.col("wide")).alias("more"))
+    rows = stretches.join(places, ["row", "part"]).join(more, ["row", "part"], "left")
+    own = F.substr("text", F.lit(1), F.col("own"))
+    rows = rows.withColumn("text", F.when(F.col("more").isNull(), F.col("text")).otherwise(F.concat(own, F.col("more"))))
+    tails = rows.filter("into <> part").select("row", F.col("into").alias("part"), F.col("text").alias("tail"))
+    heads = rows.filter("into = part").join(tails, ["row", "part"], "left")
+    text = F.when(F.col("tail").isNull(), F.col("text")).otherwise(F.concat(own, F.col("tail")))
+    return heads.select("row", "doc_id", "n_bytes", "part", "start", "at", text.alias("text"))
 
 
 def count_tokens(docs: DataFrame, path: str, stretch: int = STRETCH, overlap: int = OVERLAP) -> DataFrame:

@@ -200,3 +200,24 @@ def test_token_counts_equal_the_library(spark, stretch, overlap):
     model = sentencepiece.SentencePieceProcessor(model_file=PATH)
     got = sorted((r.doc_id or -1, r.n_bytes, r.n_tokens) for r in token_counts.count_tokens(docs, PATH, stretch, overlap).collect())
     assert got == sorted((i or -1, len((t or "").encode()), len(model.encode(t or ""))) for i, t in rows)
+
+
+def test_overlaps_widen_before_stretches_join(spark, monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["international", "straightforward", "the", "日本語", "of"]) for _ in range(900)), "=" * 2500]
+    widths, widened = [], token_counts._widened
+
+    def watched(stretches, failed):
+        out = widened(stretches, failed)
+        sizes = lambda df: {(r.row, r.part): len(r.text) for r in df.collect()}
+        widths.append((sizes(stretches), sizes(out)))
+        return out
+
+    monkeypatch.setattr(token_counts, "_widened", watched)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    model = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    got = sorted((r.doc_id, r.n_tokens) for r in token_counts.count_tokens(docs, PATH, 200, 2).collect())
+    assert got == [(i, len(model.encode(t))) for i, t in enumerate(texts)]
+    before, after = widths[0]
+    assert before.keys() == after.keys() and {after[k] - before[k] for k in after} == {0, 2}
+    assert len(widths) > 2 and len(widths[-1][1]) < len(before)
