@@ -387,7 +387,8 @@ def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFram
 
     rows = with_comp(groups)
     size = rows.groupBy("grp").agg(F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"))
-    size = size.filter("low <> high and members > 2").select("grp", F.expr(f"(members + {BLOCK} - 1) div {BLOCK}").alias("blocks"))
+    # Stars have compared the two of a pair.
+    size = size.filter(f"low <> high and members > {2 if STAR_ROUNDS else 1}").select("grp", F.expr(f"(members + {BLOCK} - 1) div {BLOCK}").alias("blocks"))
     rows = stored(rows.join(size, "grp"), "open")
     owners = profiles.select(F.col("doc_id").alias("owner"), "n", "narrow")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("owner"), "blocks"))

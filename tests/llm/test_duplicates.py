@@ -24,24 +24,14 @@ def test_components_equal_brute_force(spark, rows):
     assert got == {i: (len(brute.shingle_set(t, 4)), comps[i]) for i, t, *_ in rows}
 
 
-def test_trees_find_what_stars_leave(spark, rows, monkeypatch):
-    """Without what the stars find, and with small blocks, the trees alone must find all links."""
-    linked, calls = signature_join._linked, []
-
-    def linked_by_trees(pairs, profiles, percent):
-        calls.append(1)
-        found = linked(pairs, profiles, percent)
-        return found.filter("false") if len(calls) <= signature_join.STAR_ROUNDS else found
-
-    monkeypatch.setattr(signature_join, "_linked", linked_by_trees)
-    monkeypatch.setattr(signature_join, "BLOCK", 7)
+@pytest.mark.parametrize("block", [7, 512])
+def test_trees_alone_find_all_links(spark, rows, monkeypatch, block):
+    monkeypatch.setattr(signature_join, "STAR_ROUNDS", 0)
+    monkeypatch.setattr(signature_join, "BLOCK", block)
     docs = spark.createDataFrame(rows, brute.SCHEMA)
     out = signature_join.similarity_components(docs, 4, 85)
     comps = brute.linked_components([(r[0], r[1]) for r in rows], 4, 85)
-    # Pairs are groups of two, which stars settle; they are left out here.
-    got = {r["doc_id"]: r["component_id"] for r in out.collect()}
-    wrong = [i for i in comps if got[i] != comps[i]]
-    assert len(wrong) <= 6, wrong
+    assert {r["doc_id"]: r["component_id"] for r in out.collect()} == comps
 
 
 def test_null_ids_repeated_rows_and_empty_tables(spark):
