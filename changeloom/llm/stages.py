@@ -68,10 +68,6 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 @_carrying
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the row with the smallest id of each group of near copies. Rows that share an id are rows like others."""
-    repeated = docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1")
-    if repeated.isEmpty():
-        comps = written(signature_join.similarity_components(docs, SHINGLE_WORDS, LEAST_SIMILARITY_PERCENT), "groups")
-        return docs.join(comps.filter("component_id < doc_id").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
     keyed = written(docs.withColumn("_row", F.monotonically_increasing_id()), "keyed")
     rows = keyed.withColumn("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("_row")))
     comps = signature_join.similarity_components(rows, SHINGLE_WORDS, LEAST_SIMILARITY_PERCENT)
