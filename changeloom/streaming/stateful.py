@@ -3,7 +3,8 @@
 ``StarStream`` looks touched keys up in its tables. Here Spark's state store does: each order
 keeps its own state row and those of its items, and an event gives out the lines that it
 changes. The state of an order is spread over ``salts`` keys by item, order events going to all
-of them, so that an order with very many items is the work of many tasks.
+of them, so that an order with very many items is the work of many tasks. Items are kept in pages by
+ranges of their ids: a micro-batch reads and writes each touched page once and merges it as a whole.
 
 The order of an item is taken from its first event here; an item that moves between orders
 needs ``StarStream``.
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -22,38 +24,29 @@ from ..operators.state import item_state, order_state
 
 NO_DATE = 0
 
+PAGE = 1024
+
 _ORDER = (
-    "first_seq LONG, customer_id LONG, order_date INT, created_at TIMESTAMP, last_seq LONG, "
-    "status STRING, delivery_seq LONG, delivery_date INT, updated_at TIMESTAMP"
+    "first_seq LONG, customer_id LONG, order_date INT, created_at LONG, last_seq LONG, "
+    "status STRING, delivery_seq LONG, delivery_date INT, updated_at LONG"
 )
 _ITEM = (
-    "first_seq LONG, product_id LONG, created_at TIMESTAMP, last_seq LONG, quantity INT, "
-    "updated_at TIMESTAMP"
+    "order_item_id LONG, first_seq LONG, product_id LONG, created_at LONG, last_seq LONG, "
+    "quantity LONG, updated_at LONG"
 )
 _OUT = (
     "order_id LONG, order_item_id LONG, customer_id LONG, product_id LONG, order_date INT, "
     "delivery_date INT, status STRING, quantity INT, first_at LONG, last_at LONG, "
-    "created_at TIMESTAMP, updated_at TIMESTAMP"
+    "created_at LONG, updated_at LONG"
 )
 
 
-def _merged(old: dict | None, new: dict, *groups: tuple[tuple[str, ...], bool]) -> dict:
-    """Merge two state rows: of each group of columns, those with the lower or higher order."""
-    if old is None:
-        return new
-    merged = dict(old)
-    for columns, lowest in groups:
-        was, comes = old[columns[0]], new[columns[0]]
-        if comes < was if lowest else comes > was:
-            merged |= {c: new[c] for c in columns}
-    return merged
-
-
 def _columns(ddl: str) -> list[str]:
     return [field.split()[0] for field in ddl.split(", ")]
 
 
-_ORDER_COLUMNS, _ITEM_COLUMNS = _columns(_ORDER), _columns(_ITEM)
+_ORDER_COLUMNS, _ITEM_COLUMNS, _OUT_COLUMNS = _columns(_ORDER), _columns(_ITEM), _columns(_OUT)
+_ITEM_PAGE = ", ".join(f"{c} ARRAY<LONG>" for c in _ITEM_COLUMNS)
 # Columns that are taken together, by the first of them: from the lower or the higher row.
 _ORDER_GROUPS = (
     (("first_seq", "customer_id", "order_date", "created_at"), True),
@@ -66,85 +59,116 @@ _ITEM_GROUPS = (
 )
 
 
+Rows = dict[str, np.ndarray]
+
+
+def merged(rows: Rows, key: str, groups: tuple[tuple[tuple[str, ...], bool], ...]) -> Rows:
+    """One row per key: of each group of columns, those of the row with the lowest or highest order.
+
+    Of equal orders the first row's are taken, so state goes before what comes in.
+    """
+    keys, picked = rows[key], {}
+    for columns, lowest in groups:
+        by = rows[columns[0]]
+        order = np.lexsort((by if lowest else ~by, keys))
+        first = order[np.append(True, keys[order][1:] != keys[order][:-1])]
+        picked |= {key: keys[first]} | {c: rows[c][first] for c in columns}
+    return picked
+
+
+def _together(parts: list[Rows]) -> Rows:
+    return parts[0] if len(parts) == 1 else {c: np.concatenate([part[c] for part in parts]) for c in parts[0]}
+
+
+def _numbers(columns: list[str], values) -> Rows:
+    return {c: np.asarray(v, dtype=np.int64) for c, v in zip(columns, values)}
+
+
 class OrderLines(StatefulProcessor):
-    """State of one (order, salt): the order's row, and a row per item."""
+    """State of one (order, salt): the order's row, and its items in pages of at most ``PAGE`` ids."""
+
+    def __init__(self, keep_ms: int | None = None):
+        self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.order = handle.getValueState("order", _ORDER)
-        self.items = handle.getMapState("items", "order_item_id LONG", _ITEM)
+        self.order = handle.getValueState("order", _ORDER, self.keep_ms)
+        self.pages = handle.getMapState("pages", "page LONG", _ITEM_PAGE, self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         stored = self.order.get()
-        order = dict(zip(_ORDER_COLUMNS, stored)) if stored else None
-        order_changed, touched = False, {}
+        orders = [{c: np.array([v], dtype=object if c == "status" else np.int64) for c, v in zip(_ORDER_COLUMNS, stored)}] if stored else []
+        order_changed, items = False, []
         for chunk in rows:
-            for row in chunk.to_dict("records"):
-                if row["is_order"]:
-                    order = _merged(order, {c: row[c] for c in _ORDER_COLUMNS}, *_ORDER_GROUPS)
-                    order_changed = True
-                    continue
-                item = int(row["order_item_id"])
-                if item not in touched:
-                    stored = self.items.getValue((item,))
-                    touched[item] = dict(zip(_ITEM_COLUMNS, stored)) if stored else None
-                new = {c: row[c] for c in _ITEM_COLUMNS}
-                touched[item] = _merged(touched[item], new, *_ITEM_GROUPS)
-        for item, row in touched.items():
-            self.items.updateValue((item,), tuple(row.values()))
+            is_order = chunk["is_order"].to_numpy(dtype=bool)
+            if is_order.any():
+                orders.append({c: chunk[c].to_numpy()[is_order] for c in _ORDER_COLUMNS})
+                whole = _together(orders)
+                orders, order_changed = [merged(whole | {"": np.zeros(len(whole["status"]))}, "", _ORDER_GROUPS)], True
+            if not is_order.all():
+                new = {c: chunk[c].to_numpy()[~is_order].astype(np.int64) for c in _ITEM_COLUMNS}
+                items.append(merged(new, "order_item_id", _ITEM_GROUPS))
         if order_changed:
-            self.order.update(tuple(order.values()))
-        if order is None:
-            return
+            self.order.update(tuple(orders[0][c].tolist()[0] for c in _ORDER_COLUMNS))
+        for page in self._touched(items):
+            if orders and not order_changed:
+                yield self._lines(key[0], orders[0], page)
         if order_changed:
-            changed = ((item[0], dict(zip(_ITEM_COLUMNS, row))) for item, row in self.items.iterator())
-        else:
-            changed = touched.items()
-        page = []
-        for item, row in changed:
-            page.append(self._line(key[0], order, int(item), row))
-            if len(page) == 10_000:
-                yield pd.DataFrame(page)
-                page = []
-        if page:
-            yield pd.DataFrame(page)
+            for _, page in self.pages.iterator():
+                yield self._lines(key[0], orders[0], _numbers(_ITEM_COLUMNS, page))
+
+    def _touched(self, items: list[Rows]) -> Iterator[Rows]:
+        """Merge new items into their pages; the touched rows of each page."""
+        if not items:
+            return
+        items = merged(_together(items), "order_item_id", _ITEM_GROUPS)
+        pages = items["order_item_id"] // PAGE
+        for number in np.unique(pages).tolist():
+            new = {c: items[c][pages == number] for c in _ITEM_COLUMNS}
+            stored = self.pages.getValue((number,))
+            parts = [_numbers(_ITEM_COLUMNS, stored), new] if stored else [new]
+            whole = merged(_together(parts), "order_item_id", _ITEM_GROUPS)
+            self.pages.updateValue((number,), tuple(whole[c].tolist() for c in _ITEM_COLUMNS))
+            touched = np.isin(whole["order_item_id"], new["order_item_id"])
+            yield {c: v[touched] for c, v in whole.items()}
 
     @staticmethod
-    def _line(order_id, order: dict, item_id: int, item: dict) -> dict:
-        later = order if order["first_seq"] >= item["first_seq"] else item
-        newer = order if order["last_seq"] >= item["last_seq"] else item
-        return {
-            "order_id": order_id,
-            "order_item_id": item_id,
-            "customer_id": order["customer_id"],
-            "product_id": item["product_id"],
-            "order_date": order["order_date"],
-            "delivery_date": order["delivery_date"],
-            "status": order["status"],
-            "quantity": item["quantity"],
-            "first_at": later["first_seq"],
-            "last_at": newer["last_seq"],
-            "created_at": later["created_at"],
-            "updated_at": newer["updated_at"],
-        }
+    def _lines(order_id: int, order: Rows, items: Rows) -> pd.DataFrame:
+        first, last = order["first_seq"], order["last_seq"]
+        n = len(items["order_item_id"])
+        lines = {"order_id": np.full(n, order_id), "order_item_id": items["order_item_id"]}
+        lines |= {c: np.repeat(order[c], n) for c in ("customer_id", "order_date", "delivery_date", "status")}
+        lines |= {c: items[c] for c in ("product_id", "quantity")}
+        lines["first_at"] = np.maximum(items["first_seq"], first)
+        lines["last_at"] = np.maximum(items["last_seq"], last)
+        lines["created_at"] = np.where(items["first_seq"] <= first, order["created_at"], items["created_at"])
+        lines["updated_at"] = np.where(items["last_seq"] <= last, order["updated_at"], items["updated_at"])
+        return pd.DataFrame({c: lines[c] for c in _OUT_COLUMNS})
 
     def close(self) -> None:
         pass
 
 
-def _with_instants(df: DataFrame) -> DataFrame:
-    return df.withColumns({c: F.col(c).cast("timestamp") for c in ("created_at", "updated_at")})
+def _with_micros(df: DataFrame) -> DataFrame:
+    micros = {c: F.unix_micros(F.col(c).cast("timestamp")) for c in ("created_at", "updated_at")}
+    return df.withColumns({c: F.coalesce(m, F.lit(BEGINNING)) for c, m in micros.items()})
 
 
 def changed_lines(
-    orders: DataFrame, items: DataFrame, salts: int = 8, keep_delivery_on_null: bool = False
+    orders: DataFrame,
+    items: DataFrame,
+    salts: int = 8,
+    keep_delivery_on_null: bool = False,
+    keep_ms: int | None = None,
 ) -> DataFrame:
     """Stream of the lines that order and item event streams change; the last one of a line counts.
 
-    Needs the RocksDB state store provider.
+    ``keep_ms`` bounds the state: an order's row, or a page of items, that has had no event for so long
+    is forgotten, and a later event of it begins anew; as it goes by the clock, such a stream does not end by
+    itself with ``availableNow``. Needs the RocksDB state store provider.
     """
     spread = F.pmod(F.xxhash64("order_item_id"), F.lit(salts)).cast("int")
-    item_rows = _with_instants(item_state(items)).withColumn("salt", spread)
-    order_rows = _with_instants(order_state(orders, keep_delivery_on_null)).withColumn(
+    item_rows = _with_micros(item_state(items)).withColumn("salt", spread)
+    order_rows = _with_micros(order_state(orders, keep_delivery_on_null)).withColumn(
         "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
     # No nulls in number columns: pandas would turn the column to floating point, which does
@@ -165,9 +189,15 @@ def changed_lines(
             "delivery_seq", "delivery_date"],
     )
     lines = both.groupBy("order_id", "salt").transformWithStateInPandas(
-        statefulProcessor=OrderLines(), outputStructType=_OUT, outputMode="Update", timeMode="None"
+        statefulProcessor=OrderLines(keep_ms),
+        outputStructType=_OUT,
+        outputMode="Update",
+        timeMode="None" if keep_ms is None else "ProcessingTime",
     )
     return lines.withColumns(
-        {c: F.col(c).cast("timestamp_ntz") for c in ("created_at", "updated_at")}
+        {
+            c: F.timestamp_micros(F.nullif(F.col(c), F.lit(BEGINNING))).cast("timestamp_ntz")
+            for c in ("created_at", "updated_at")
+        }
         | {"delivery_date": F.nullif(F.col("delivery_date"), F.lit(NO_DATE))}
     )

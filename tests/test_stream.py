@@ -1,8 +1,10 @@
 """Streams lead to the same tables as the batch build, however the log is cut."""
 
 import random
+import time
 from decimal import Decimal
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -202,12 +204,22 @@ def test_nothing_committed(spark, folder):
         tables.read_facts(spark, folder)
 
 
-def collected(spark, stream, folder, mode):
+def collected(spark, stream, folder, mode, batches=None):
+    """All rows of a stream; one whose clock never lets it end is stopped after so many batches with rows."""
+
     def append(rows, batch):
         rows.write.mode("overwrite").parquet(f"{folder}/rows/batch={batch}")
 
-    query = stream.writeStream.foreachBatch(append).outputMode(mode).trigger(availableNow=True)
-    query.option("checkpointLocation", f"{folder}/checkpoint").start().awaitTermination()
+    query = stream.writeStream.foreachBatch(append).outputMode(mode).option("checkpointLocation", f"{folder}/checkpoint")
+    if batches is None:
+        query.trigger(availableNow=True).start().awaitTermination()
+    else:
+        running = query.trigger(processingTime="1 second").start()
+        for _ in range(120):
+            if sum(p["numInputRows"] > 0 for p in running.recentProgress) >= batches:
+                break
+            time.sleep(1)
+        running.stop()
     return spark.read.parquet(f"{folder}/rows")
 
 
@@ -217,7 +229,9 @@ def line_log():
     return [m for m in messages if "order" in m[0]]
 
 
-def test_lines_from_keyed_state(spark, folder):
+@pytest.mark.parametrize("keep_ms, page", [(None, 2), (3_600_000, 1024)])
+def test_lines_from_keyed_state(spark, folder, monkeypatch, keep_ms, page):
+    monkeypatch.setattr(stateful, "PAGE", page)
     messages = line_log()
     random.Random(1).shuffle(messages)
     put_log(spark, folder, messages[:40])
@@ -232,7 +246,8 @@ def test_lines_from_keyed_state(spark, folder):
             changelog.events(changelog.stream_log(spark, f"{folder}/log", files_per_batch=1), t)
             for t in ("orders", "order_items")
         ]
-        rows = collected(spark, stateful.changed_lines(orders, items, salts=2), folder, "update")
+        lines = stateful.changed_lines(orders, items, salts=2, keep_ms=keep_ms)
+        rows = collected(spark, lines, folder, "update", batches=None if keep_ms is None else 2)
     finally:
         spark.conf.set(name, before)
     lines = star.build_lines(star.from_log(world.log_frame(spark, messages)))
@@ -240,6 +255,18 @@ def test_lines_from_keyed_state(spark, folder):
     assert sorted(map(str, got.collect())) == sorted(map(str, lines.collect()))
 
 
+def test_first_and_last_picks_of_whole_columns():
+    rng = random.Random(3)
+    rows = [(rng.randint(-5, 5), rng.randint(0, 4), n, rng.randint(0, 4), -n) for n in range(200)]
+    columns = dict(zip(("key", "first_seq", "x", "last_seq", "y"), map(np.array, zip(*rows))))
+    got = stateful.merged(columns, "key", ((("first_seq", "x"), True), (("last_seq", "y"), False)))
+    for key, first_seq, x, last_seq, y in zip(*(got[c].tolist() for c in columns)):
+        own = [r for r in rows if r[0] == key]
+        assert (first_seq, x) == min(((r[1], r[2]) for r in own), key=lambda r: r[0])  # the first of equal ones
+        assert (last_seq, y) == max(((r[3], r[4]) for r in own), key=lambda r: r[0])
+    assert got["key"].tolist() == sorted({r[0] for r in rows})
+
+
 def test_lines_from_a_bounded_join(spark, folder):
     messages = sorted(line_log(), key=lambda m: m[3])
     for low in range(0, len(messages), 40):
