@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..sources import changelog
-from ..sources.workspace import workspace
+from ..sources.workspace import workspace, written
 from ..streaming import bounded, counts, stateful, tables
 from ..streaming.ingest import StarStream
 from . import retail, star
@@ -14,6 +14,9 @@ from .queries import query, shown_fact
 #: Events in a file of the log, and rows of the largest kept table in a bucket, at most about.
 FILE_EVENTS = 1_000_000
 BUCKET_ROWS = 1_000_000
+#: Events in a micro-batch of the log by time, at most about, and its least number of micro-batches.
+SLICE_EVENTS = 100_000_000
+LEAST_SLICES = 4
 
 
 def _events(spark: SparkSession, sf_dir: str) -> int:
@@ -93,8 +96,7 @@ def stream_top_customers_by_orders(spark: SparkSession, sf_dir: str) -> DataFram
     return counts.top_customers_by_orders(spark, _star_root(spark, sf_dir), limit=20)
 
 
-def _event_streams(spark: SparkSession, sf_dir: str, files: int | None) -> tuple[DataFrame, DataFrame]:
-    path = _written_log(spark, sf_dir)
+def _event_streams(spark: SparkSession, path: str, files: int) -> tuple[DataFrame, DataFrame]:
     orders, items = [
         changelog.events(changelog.stream_log(spark, path, files_per_batch=files), table)
         for table in ("orders", "order_items")
@@ -102,6 +104,20 @@ def _event_streams(spark: SparkSession, sf_dir: str, files: int | None) -> tuple
     return orders, items
 
 
+def _log_by_time(spark: SparkSession, sf_dir: str) -> tuple[str, int]:
+    """The log in slices of event time, written one after the other, so that they come in in this order; files of a slice."""
+    path, events = workspace(spark, "log"), _events(spark, sf_dir)
+    slices = max(LEAST_SLICES, -(-events // SLICE_EVENTS))
+    files = max(1, -(-events // slices // FILE_EVENTS))
+    log = written(retail.log(spark, sf_dir).repartitionByRange(slices * files, "seq"), "whole")
+    cuts = log.agg(F.percentile_approx("seq", [n / slices for n in range(1, slices)], 100 * slices)).first()[0]
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        rows = log if low is None else log.filter(F.col("seq") > low)
+        rows = rows if high is None else rows.filter(F.col("seq") <= high)
+        rows.repartition(files).write.mode("append").parquet(path)
+    return path, files
+
+
 def _appended(spark: SparkSession, stream: DataFrame, purpose: str, mode: str) -> DataFrame:
     """Run a stream to its end, each micro-batch into a folder of its own."""
     root = workspace(spark, purpose)
@@ -128,7 +144,7 @@ def stream_changed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     )
     try:
-        orders, items = _event_streams(spark, sf_dir, files=2)
+        orders, items = _event_streams(spark, _written_log(spark, sf_dir), files=2)
         rows = _appended(spark, stateful.changed_lines(orders, items, salts=2), "changed", "update")
     finally:
         spark.conf.set(name, before)
@@ -137,6 +153,7 @@ def stream_changed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_joined_within(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders, items = _event_streams(spark, sf_dir, files=None)
+    """Slice by slice: behind the watermark state is dropped, and no event is late."""
+    orders, items = _event_streams(spark, *_log_by_time(spark, sf_dir))
     pairs = _appended(spark, bounded.joined_within(orders, items, "60 days"), "pairs", "append")
     return bounded.merge_pairs(pairs)
