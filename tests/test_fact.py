@@ -5,11 +5,13 @@ import random
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import world
-from changeloom.operators import fact as facts, state
+from changeloom.operators import fact as facts, skew, state
 from changeloom.operators.calendar import build_dim_dates
 from changeloom.plans import star
+from changeloom.sources import workspace
 from world import customer, item, order, product
 
 JAN = dt.date(2026, 1, 1)
@@ -182,3 +184,38 @@ def test_replay_of_the_whole_log_changes_nothing(spark):
 def test_rejects_unknown_price_mode(spark):
     with pytest.raises(ValueError):
         build(spark, BASE, price_mode="other")
+
+
+def test_what_is_resolved_is_not_stored(spark, monkeypatch):
+    messages = random_worlds(10)
+    customers, products = world.source_frames(spark, *world.sources(messages, every=3))
+    stored = {}
+
+    def written(rows, purpose):
+        table = workspace.written(rows, purpose)
+        stored[purpose] = table
+        return table
+
+    monkeypatch.setattr(facts, "written", written)
+    built = build(spark, messages, customer_source=customers, product_source=products)
+    assert set(stored) == {"members", "lines", "keys", "waiting", "late", "settled"}
+    assert 0 < stored["settled"].count() <= stored["waiting"].count() < stored["lines"].count()
+    assert all(name.endswith(".zstd.parquet") for name in stored["lines"].inputFiles())
+    assert len(world.fact_dict(built.fact)) + built.unresolved.count() + built.quarantine.count() == stored["lines"].count()
+
+
+def test_events_are_dealt_before_they_are_reduced_unless_keys_have_many(spark, monkeypatch):
+    rows = spark.range(40).select(F.col("id").alias("few"), (F.col("id") % 4).alias("many"))
+
+    def exchanges(key):
+        return state.dealt(rows, key)._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression")
+
+    assert (exchanges("few"), exchanges("many")) == (1, 0)
+    monkeypatch.setattr(state, "ROWS_PER_TASK", 0)  # a key may be hot
+    assert exchanges("few") == 0
+
+
+def test_a_fullest_hash_bounds_every_key(spark):
+    rows = spark.range(300).select(F.when(F.col("id") < 200, 7).otherwise(F.col("id")).alias("k"))
+    assert 200 <= skew.most_of_a_hash(rows, "k") < 300
+    assert skew.most_of_a_hash(rows.limit(0), "k") == 0
