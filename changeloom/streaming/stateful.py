@@ -1,10 +1,12 @@
-"""Order lines from keyed state: work per micro-batch grows with its events only.
+"""Order lines from keyed state: work per micro-batch grows with the orders that it touches only.
 
-``StarStream`` looks touched keys up in its tables. Here Spark's state store does: each order
-keeps its own state row and those of its items, and an event gives out the lines that it
-changes. The state of an order is spread over ``salts`` keys by item, order events going to all
+``StarStream`` looks touched keys up in its tables. Here Spark's state store does: each block of orders with neighbouring
+ids keeps the rows of its orders and of their items as whole columns, and an event gives out the lines that it
+changes. A block is one call and one read and write of its state however many of its orders have events; orders whose ids are
+far apart are a block each. The state of a block is spread over ``salts`` keys by item, order events going to all
 of them, so that an order with very many items is the work of many tasks. Items are kept in pages by
-ranges of their ids: a micro-batch reads and writes each touched page once and merges it as a whole.
+ranges of their ids: a micro-batch reads and writes each touched page once and merges it as a whole; an order event reads
+the pages of its block.
 
 The order of an item is taken from its first event here; an item that moves between orders
 needs ``StarStream``.
@@ -24,7 +26,9 @@ from ..operators.state import item_state, order_state
 
 NO_DATE = 0
 
-PAGE = 1024
+#: Ids of items in a page, and (as a power of two) ids of orders in a block.
+PAGE = 16384
+BLOCK_BITS = 10
 
 _ORDER = (
     "first_seq LONG, customer_id LONG, order_date INT, created_at LONG, last_seq LONG, "
@@ -46,33 +50,46 @@ def _columns(ddl: str) -> list[str]:
 
 
 _ORDER_COLUMNS, _ITEM_COLUMNS, _OUT_COLUMNS = _columns(_ORDER), _columns(_ITEM), _columns(_OUT)
-_ITEM_PAGE = ", ".join(f"{c} ARRAY<LONG>" for c in _ITEM_COLUMNS)
+
+#: Kept beside each row: its order, and when its order last had an event there.
+_KEPT = ["order_id", "touched"]
+
+
+def _arrays(columns: list[str]) -> str:
+    return ", ".join(f"{c} ARRAY<{'STRING' if c == 'status' else 'LONG'}>" for c in columns)
+
+
 # Columns that are taken together, by the first of them: from the lower or the higher row.
 _ORDER_GROUPS = (
     (("first_seq", "customer_id", "order_date", "created_at"), True),
     (("last_seq", "status", "updated_at"), False),
     (("delivery_seq", "delivery_date"), False),
+    (("touched",), False),
 )
 _ITEM_GROUPS = (
     (("first_seq", "product_id", "created_at"), True),
     (("last_seq", "quantity", "updated_at"), False),
+    (("touched",), False),
 )
+_ITEM_KEY = ("order_id", "order_item_id")
 
 
 Rows = dict[str, np.ndarray]
 
 
-def merged(rows: Rows, key: str, groups: tuple[tuple[tuple[str, ...], bool], ...]) -> Rows:
-    """One row per key: of each group of columns, those of the row with the lowest or highest order.
+def merged(rows: Rows, key: str | tuple[str, ...], groups: tuple[tuple[tuple[str, ...], bool], ...]) -> Rows:
+    """One row per key, in the order of keys: of each group of columns, those of the row with the lowest or highest order.
 
     Of equal orders the first row's are taken, so state goes before what comes in.
     """
-    keys, picked = rows[key], {}
+    names = (key,) if isinstance(key, str) else key
+    keys, picked = [rows[name] for name in names], {}
     for columns, lowest in groups:
         by = rows[columns[0]]
-        order = np.lexsort((by if lowest else ~by, keys))
-        first = order[np.append(True, keys[order][1:] != keys[order][:-1])]
-        picked |= {key: keys[first]} | {c: rows[c][first] for c in columns}
+        order = np.lexsort((by if lowest else ~by, *reversed(keys)))
+        other = [own[order][1:] != own[order][:-1] for own in keys]
+        first = order[np.append(True, np.logical_or.reduce(other))[: len(order)]]
+        picked |= {name: rows[name][first] for name in names} | {c: rows[c][first] for c in columns}
     return picked
 
 
@@ -80,69 +97,91 @@ def _together(parts: list[Rows]) -> Rows:
     return parts[0] if len(parts) == 1 else {c: np.concatenate([part[c] for part in parts]) for c in parts[0]}
 
 
-def _numbers(columns: list[str], values) -> Rows:
-    return {c: np.asarray(v, dtype=np.int64) for c, v in zip(columns, values)}
+def _columns_of(columns: list[str], values) -> Rows:
+    return {c: np.array(v, dtype=object if c == "status" else np.int64) for c, v in zip(columns, values)}
 
 
 class OrderLines(StatefulProcessor):
-    """State of one (order, salt): the order's row, and its items in pages of at most ``PAGE`` ids."""
+    """State of one (block, salt): the rows of its orders, and of their items in pages of ``PAGE`` ids."""
 
     def __init__(self, keep_ms: int | None = None):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.order = handle.getValueState("order", _ORDER, self.keep_ms)
-        self.pages = handle.getMapState("pages", "page LONG", _ITEM_PAGE, self.keep_ms)
+        self.orders = handle.getValueState("orders", _arrays(_KEPT + _ORDER_COLUMNS), self.keep_ms)
+        self.pages = handle.getMapState("pages", "page LONG", _arrays(_KEPT + _ITEM_COLUMNS), self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        stored = self.order.get()
-        orders = [{c: np.array([v], dtype=object if c == "status" else np.int64) for c, v in zip(_ORDER_COLUMNS, stored)}] if stored else []
-        order_changed, items = False, []
+        now = 0 if self.keep_ms is None else timerValues.getCurrentProcessingTimeInMs()
+        new, items = [], []
         for chunk in rows:
             is_order = chunk["is_order"].to_numpy(dtype=bool)
-            if is_order.any():
-                orders.append({c: chunk[c].to_numpy()[is_order] for c in _ORDER_COLUMNS})
-                whole = _together(orders)
-                orders, order_changed = [merged(whole | {"": np.zeros(len(whole["status"]))}, "", _ORDER_GROUPS)], True
-            if not is_order.all():
-                new = {c: chunk[c].to_numpy()[~is_order].astype(np.int64) for c in _ITEM_COLUMNS}
-                items.append(merged(new, "order_item_id", _ITEM_GROUPS))
-        if order_changed:
-            self.order.update(tuple(orders[0][c].tolist()[0] for c in _ORDER_COLUMNS))
-        for page in self._touched(items):
-            if orders and not order_changed:
-                yield self._lines(key[0], orders[0], page)
-        if order_changed:
-            for _, page in self.pages.iterator():
-                yield self._lines(key[0], orders[0], _numbers(_ITEM_COLUMNS, page))
-
-    def _touched(self, items: list[Rows]) -> Iterator[Rows]:
-        """Merge new items into their pages; the touched rows of each page."""
+            for own, to, columns, by, groups in (
+                (is_order, new, _ORDER_COLUMNS, "order_id", _ORDER_GROUPS),
+                (~is_order, items, _ITEM_COLUMNS, _ITEM_KEY, _ITEM_GROUPS),
+            ):
+                if own.any():
+                    part = _columns_of(["order_id", *columns], [chunk[c].to_numpy()[own] for c in ("order_id", *columns)])
+                    to.append(merged(part | {"touched": np.full(int(own.sum()), now)}, by, groups))
+        orders = self._stored(_ORDER_COLUMNS, self.orders.get(), now)
+        changed = np.unique(np.concatenate([part["order_id"] for part in new])) if new else np.zeros(0, np.int64)
+        if new:
+            orders = merged(_together([orders, *new] if orders else new), "order_id", _ORDER_GROUPS)
+            self.orders.update(tuple(orders[c].tolist() for c in _KEPT + _ORDER_COLUMNS))
+        done = set()
+        for number, page, touched in self._touched(items, now):
+            done.add(number)
+            if orders:
+                yield from self._lines(orders, page, touched | np.isin(page["order_id"], changed))
+        if new:
+            for (number,), stored in self.pages.iterator():
+                if number not in done:
+                    page = self._stored(_ITEM_COLUMNS, stored, now)
+                    yield from self._lines(orders, page, np.isin(page["order_id"], changed))
+
+    def _stored(self, columns: list[str], values, now: int) -> Rows:
+        """Stored rows, without those whose time has run out; an empty dict if there are none at all."""
+        if not values:
+            return {}
+        rows = _columns_of(_KEPT + columns, values)
+        if self.keep_ms is None:
+            return rows
+        alive = rows["touched"] > now - self.keep_ms
+        return {c: v[alive] for c, v in rows.items()}
+
+    def _touched(self, items: list[Rows], now: int) -> Iterator[tuple[int, Rows, np.ndarray]]:
+        """Merge new items into their pages; each such page, and which of its rows are new or changed."""
         if not items:
             return
-        items = merged(_together(items), "order_item_id", _ITEM_GROUPS)
+        items = merged(_together(items), _ITEM_KEY, _ITEM_GROUPS)
         pages = items["order_item_id"] // PAGE
         for number in np.unique(pages).tolist():
-            new = {c: items[c][pages == number] for c in _ITEM_COLUMNS}
-            stored = self.pages.getValue((number,))
-            parts = [_numbers(_ITEM_COLUMNS, stored), new] if stored else [new]
-            whole = merged(_together(parts), "order_item_id", _ITEM_GROUPS)
-            self.pages.updateValue((number,), tuple(whole[c].tolist() for c in _ITEM_COLUMNS))
-            touched = np.isin(whole["order_item_id"], new["order_item_id"])
-            yield {c: v[touched] for c, v in whole.items()}
+            new = {c: v[pages == number] for c, v in items.items()}
+            stored = self._stored(_ITEM_COLUMNS, self.pages.getValue((number,)), now)
+            whole = merged(_together([stored, new] if stored else [new]), _ITEM_KEY, _ITEM_GROUPS)
+            whole["touched"][np.isin(whole["order_id"], new["order_id"])] = now
+            self.pages.updateValue((number,), tuple(whole[c].tolist() for c in _KEPT + _ITEM_COLUMNS))
+            pairs = [pd.MultiIndex.from_arrays([rows[c] for c in _ITEM_KEY]) for rows in (whole, new)]
+            yield number, whole, pairs[0].isin(pairs[1])
 
     @staticmethod
-    def _lines(order_id: int, order: Rows, items: Rows) -> pd.DataFrame:
-        first, last = order["first_seq"], order["last_seq"]
-        n = len(items["order_item_id"])
-        lines = {"order_id": np.full(n, order_id), "order_item_id": items["order_item_id"]}
-        lines |= {c: np.repeat(order[c], n) for c in ("customer_id", "order_date", "delivery_date", "status")}
-        lines |= {c: items[c] for c in ("product_id", "quantity")}
-        lines["first_at"] = np.maximum(items["first_seq"], first)
-        lines["last_at"] = np.maximum(items["last_seq"], last)
-        lines["created_at"] = np.where(items["first_seq"] <= first, order["created_at"], items["created_at"])
-        lines["updated_at"] = np.where(items["last_seq"] <= last, order["updated_at"], items["updated_at"])
-        return pd.DataFrame({c: lines[c] for c in _OUT_COLUMNS})
+    def _lines(orders: Rows, items: Rows, wanted: np.ndarray) -> Iterator[pd.DataFrame]:
+        """Lines of the wanted items whose order is known."""
+        items = {c: v[wanted] for c, v in items.items()}
+        place = np.searchsorted(orders["order_id"], items["order_id"])
+        place = np.minimum(place, max(len(orders["order_id"]) - 1, 0))
+        known = orders["order_id"][place] == items["order_id"] if len(orders["order_id"]) else np.zeros(len(place), bool)
+        if not known.any():
+            return
+        items, place = {c: v[known] for c, v in items.items()}, place[known]
+        order = {c: orders[c][place] for c in _ORDER_COLUMNS}
+        lines = {c: items[c] for c in ("order_id", "order_item_id", "product_id", "quantity")}
+        lines |= {c: order[c] for c in ("customer_id", "order_date", "delivery_date", "status")}
+        lines["first_at"] = np.maximum(items["first_seq"], order["first_seq"])
+        lines["last_at"] = np.maximum(items["last_seq"], order["last_seq"])
+        lines["created_at"] = np.where(items["first_seq"] <= order["first_seq"], order["created_at"], items["created_at"])
+        lines["updated_at"] = np.where(items["last_seq"] <= order["last_seq"], order["updated_at"], items["updated_at"])
+        yield pd.DataFrame({c: lines[c] for c in _OUT_COLUMNS})
 
     def close(self) -> None:
         pass
@@ -162,8 +201,8 @@ def changed_lines(
 ) -> DataFrame:
     """Stream of the lines that order and item event streams change; the last one of a line counts.
 
-    ``keep_ms`` bounds the state: an order's row, or a page of items, that has had no event for so long
-    is forgotten, and a later event of it begins anew; as it goes by the clock, such a stream does not end by
+    ``keep_ms`` bounds the state: an order's row, or its items in a page, that have had no event for so long
+    are forgotten, and a later event begins anew; as it goes by the clock, such a stream does not end by
     itself with ``availableNow``. Needs the RocksDB state store provider.
     """
     spread = F.pmod(F.xxhash64("order_item_id"), F.lit(salts)).cast("int")
@@ -188,7 +227,8 @@ def changed_lines(
         0, ["order_item_id", "customer_id", "product_id", "quantity", "order_date",
             "delivery_seq", "delivery_date"],
     )
-    lines = both.groupBy("order_id", "salt").transformWithStateInPandas(
+    both = both.filter("order_id IS NOT NULL").withColumn("block", F.shiftright("order_id", BLOCK_BITS))
+    lines = both.groupBy("block", "salt").transformWithStateInPandas(
         statefulProcessor=OrderLines(keep_ms),
         outputStructType=_OUT,
         outputMode="Update",
