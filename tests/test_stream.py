@@ -1,5 +1,6 @@
 """Streams lead to the same tables as the batch build, however the log is cut."""
 
+import os
 import random
 import time
 from decimal import Decimal
@@ -12,7 +13,7 @@ import world
 from changeloom.operators.calendar import build_dim_dates
 from changeloom.plans import reports, star
 from changeloom.sources import changelog
-from changeloom.streaming import bounded, counts, stateful, tables
+from changeloom.streaming import bounded, counts, ingest, stateful, tables
 from changeloom.streaming.ingest import StarStream
 from world import customer, item, order, product, raw
 
@@ -279,3 +280,35 @@ def test_lines_from_a_bounded_join(spark, folder):
     got = bounded.merge_pairs(rows)
     lines = star.build_lines(star.from_log(world.log_frame(spark, messages))).select(got.columns)
     assert sorted(map(str, got.collect())) == sorted(map(str, lines.collect()))
+
+
+def test_a_replay_is_left_out_and_micro_batches_leave_no_tables_of_their_own(spark, folder, monkeypatch):
+    messages = [customer(1, 1), product(2, 1), order(10, 1), item(11, 5)]
+    stream = StarStream(f"{folder}/star", build_dim_dates(spark), buckets=2)
+    touched = []
+    recompute = ingest._Step._recompute
+    monkeypatch.setattr(ingest._Step, "_recompute", lambda step, rows: touched.append(rows.count()) or recompute(step, rows))
+    stream.apply(world.log_frame(spark, messages), 0)
+    stream.apply(world.log_frame(spark, messages), 1)
+    assert touched == [1]  # before, a replay computed its lines again
+    stream.apply(world.log_frame(spark, [*messages, item(12, 5, quantity=9), item(13, 6)]), 2)
+    assert touched == [1, 2]
+    assert world.fact_dict(tables.read_facts(spark, stream.root)) == expected(spark, [*messages, item(12, 5, quantity=9), item(13, 6)])
+    shared = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(shared))
+    stream.apply(world.log_frame(spark, [order(20, 1, status="DONE")]), 3)
+    assert set(os.listdir(shared)) == before and os.listdir(f"{folder}/star/_work") == []
+    names = tables.committed(spark, stream.root).read("lines").inputFiles()
+    assert names and all(name.endswith(".zstd.parquet") for name in names)
+
+
+def test_neighbouring_orders_share_a_block_of_state(spark):
+    rng = random.Random(5)
+    columns = dict(zip(("order_id", "order_item_id", "first_seq", "x"), map(np.array, zip(*[(rng.randint(0, 3), rng.randint(0, 3), n, -n) for n in range(60)]))))
+    got = stateful.merged(columns, ("order_id", "order_item_id"), ((("first_seq", "x"), True),))
+    pairs = sorted(set(zip(columns["order_id"].tolist(), columns["order_item_id"].tolist())))
+    assert list(zip(got["order_id"].tolist(), got["order_item_id"].tolist())) == pairs
+    orders = {c: np.zeros(2, object if c == "status" else np.int64) for c in stateful._ORDER_COLUMNS} | {"order_id": np.array([1, 3])}
+    items = {c: np.zeros(3, np.int64) for c in stateful._ITEM_COLUMNS} | {"order_id": np.array([1, 2, 3]), "order_item_id": np.array([10, 20, 30])}
+    lines = list(stateful.OrderLines._lines(orders, items, np.array([True, True, False])))
+    assert [line["order_item_id"].tolist() for line in lines] == [[10]]
