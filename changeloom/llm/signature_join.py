@@ -14,7 +14,8 @@ Two documents link when the Jaccard similarity of their shingle sets is at least
 4. *Trees.* The other groups are cut into blocks. A block is a tree whose nodes hold the OR of their
    members' bitmaps and their range of sizes. Two trees are walked together from their roots; a pair
    of nodes is left when it lies within one component, when its sizes are too far apart, or when the
-   greatest overlap that its bitmaps allow is too small. Pairs of leaves that remain are compared exactly.
+   greatest overlap that its bitmaps allow is too small. Trees go by few bits; the pairs of leaves that remain are checked by many
+   before they leave the group, and then compared exactly.
 
 Only links between different components are ever looked for, and a pair has to pass the bitmaps to leave its
 group, so no group's pairs are listed; pairs that several groups leave are made one before they are compared.
@@ -202,7 +203,7 @@ def _groups(blobs: DataFrame) -> DataFrame:
 
 
 def _profiles(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """``doc_id, n, bits, narrow, set`` of the documents in ``ids``: size, bitmap, the same over fewer bits, sorted shingles."""
+    """``doc_id, n, bits, set`` of the documents in ``ids``: size, bitmap, sorted shingles."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -215,14 +216,13 @@ def _profiles(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
                         batch.column(0).slice(lo, hi - lo),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([b.tobytes() for b in bits], pa.binary()),
-                        pa.array([folded(b, max(len(b) // NARROW, 1)).tobytes() for b in bits], pa.binary()),
                         pa.array([s.tobytes() for s in sets], pa.binary()),
                     ],
-                    names=["doc_id", "n", "bits", "narrow", "set"],
+                    names=["doc_id", "n", "bits", "set"],
                 )
 
     own = docs.select("doc_id", "text").join(ids.select(F.col("owner").alias("doc_id")).distinct(), "doc_id", "left_semi")
-    return own.mapInArrow(scan, "doc_id long, n long, bits binary, narrow binary, set binary").filter("n > 0")
+    return own.mapInArrow(scan, "doc_id long, n long, bits binary, set binary").filter("n > 0")
 
 
 def _u64(value) -> np.ndarray:
@@ -319,7 +319,10 @@ def walk(one: Tree, two: Tree, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows(grp, p, q, block, owner, comp, n, narrow)`` -> pairs that the trees of two blocks leave, each once."""
+    """``rows(grp, p, q, block, owner, comp, n, bits)`` -> pairs that the trees of two blocks leave, each once.
+
+    Trees are walked by narrow bitmaps; what they leave is checked by the wide ones before it leaves the group.
+    """
 
     def join(group: pa.Table) -> pa.Table:
         bounds = Bounds(percent)
@@ -328,9 +331,10 @@ def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         owner = group.column("owner").to_numpy()
         comp = group.column("comp").to_numpy()
         n = group.column("n").to_numpy()
-        raw = [_u64(x) for x in group.column("narrow")]
+        raw = [_u64(x) for x in group.column("bits")]
         width = min(len(x) for x in raw)
-        bits = np.vstack([folded(x, width) for x in raw])
+        wide = np.vstack([folded(x, width) for x in raw])
+        bits = np.vstack([folded(x, max(width // NARROW, 1)) for x in wide])
         trees = []
         for b in (p, q):
             own = np.flatnonzero(block == b)
@@ -346,17 +350,39 @@ def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
             low.levels.append((np.bitwise_or.reduce(bits_, axis=0)[None], lo_.min()[None], hi_.max()[None], exc_.max()[None], np.array([same])))
         i, j = walk(one, two, bounds)
         a, b = own_a[i], own_b[j]
-        x, y = owner[a], owner[b]
-        keep = (x < y) if p == q else np.ones(len(x), dtype=bool)
-        sure = np.minimum(n[a] - np.bitwise_count(bits[a] & ~bits[b]).sum(axis=1), n[b] - np.bitwise_count(bits[b] & ~bits[a]).sum(axis=1))
-        keep &= sure >= bounds.least_common(n[a], n[b])
-        keep &= comp[a] != comp[b]
-        x, y = x[keep], y[keep]
+        keep = comp[a] != comp[b]
+        if p == q:
+            keep &= owner[a] < owner[b]
+        a, b = a[keep], b[keep]
+        keep = np.zeros(len(a), dtype=bool)
+        for lo in range(0, len(a), 4096):
+            x, y = a[lo : lo + 4096], b[lo : lo + 4096]
+            out_x = np.bitwise_count(wide[x] & ~wide[y]).sum(axis=1)
+            out_y = np.bitwise_count(wide[y] & ~wide[x]).sum(axis=1)
+            keep[lo : lo + 4096] = np.minimum(n[x] - out_x, n[y] - out_y) >= bounds.least_common(n[x], n[y])
+        x, y = owner[a[keep]], owner[b[keep]]
         return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y)})
 
     return rows.groupBy("grp", "p", "q").applyInArrow(join, "a long, b long").distinct()
 
 
+def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps(node, comp)`` after more links: only the components that a link joins are worked on, and nothing is done if none are."""
+
+    def known(name: str) -> DataFrame:
+        return comps.select(F.col("node").alias(name), F.col("comp").alias(f"comp_{name}"))
+
+    apart = links.join(known("a"), "a", "left").join(known("b"), "b", "left")
+    apart = apart.select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b")).filter("a <> b")
+    apart = stored(apart.distinct(), "apart")
+    if apart.isEmpty():
+        return comps
+    moved = stored(components(apart).select(F.col("node").alias("comp"), F.col("comp").alias("to")), "moved")
+    grown = comps.join(moved, "comp", "left").select("node", F.coalesce("to", "comp").alias("comp"))
+    alone = moved.join(comps.select(F.col("node").alias("comp")), "comp", "left_anti").select(F.col("comp").alias("node"), F.col("to").alias("comp"))
+    return stored(grown.unionByName(alone), "comps")
+
+
 def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row: the smallest id reachable by links."""
     sets = stored(shingle_sets(docs, width), "sets")
@@ -382,20 +408,20 @@ def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFram
         ).filter("low <> high")
         pairs = rows.join(centre, "grp").filter("comp <> c.comp")
         pairs = pairs.select(F.least("owner", "c.id").alias("a"), F.greatest("owner", "c.id").alias("b")).distinct()
-        edges = edges.unionByName(_linked(pairs, profiles, percent))
-        comps = stored(components(edges), "comps")
+        links = _linked(pairs, profiles, percent)
+        comps = _merged(comps, links) if turn else stored(components(edges.unionByName(links)), "comps")
 
     rows = with_comp(groups)
     size = rows.groupBy("grp").agg(F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"))
     # Stars have compared the two of a pair.
     size = size.filter(f"low <> high and members > {2 if STAR_ROUNDS else 1}").select("grp", F.expr(f"(members + {BLOCK} - 1) div {BLOCK}").alias("blocks"))
     rows = stored(rows.join(size, "grp"), "open")
-    owners = profiles.select(F.col("doc_id").alias("owner"), "n", "narrow")
+    owners = profiles.select(F.col("doc_id").alias("owner"), "n", "bits")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("owner"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("grp", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "owner", "comp")
     links = _linked(_tree_pairs(rows.join(owners, "owner"), percent), profiles, percent)
-    comps = components(edges.unionByName(links))
+    comps = _merged(comps, links) if STAR_ROUNDS else components(edges.unionByName(links))
 
     known = comps.select(F.col("node").alias("doc_id"), F.col("comp").alias("component_id"))
     return sets.select("doc_id", "n_shingles").join(known, "doc_id", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
