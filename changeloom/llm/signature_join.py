@@ -18,7 +18,7 @@ Two documents link when the Jaccard similarity of their shingle sets is at least
    before they leave the group, and then compared exactly.
 
 Only links between different components are ever looked for, and a pair has to pass the bitmaps to leave its
-group, so no group's pairs are listed; pairs that several groups leave are made one before they are compared.
+group, so no group's pairs are listed; a pair that several groups have in common leaves the first of them.
 
 Defined cases: a null or blank text has no shingles and no links (``n_shingles`` 0). A row without id has
 its own ``n_shingles`` and a null component. Rows that repeat an id are one document with several
@@ -318,10 +318,24 @@ def walk(one: Tree, two: Tree, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
     return i, j
 
 
+def _shared(before: pa.ChunkedArray) -> np.ndarray:
+    """A bitmap for each list: two have a bit in common if the lists have an entry in common."""
+    lists = before.combine_chunks()
+    _, place, often = np.unique(lists.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    member = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+    column = np.cumsum(often > 1) - 1
+    used = often[place] > 1
+    member, column = member[used], column[place[used]]
+    out = np.zeros((len(lists), max(int((often > 1).sum() + 63) // 64, 1)), dtype=np.uint64)
+    np.bitwise_or.at(out, (member, column // 64), np.uint64(1) << (column % 64).astype(np.uint64))
+    return out
+
+
 def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """``rows(grp, p, q, block, owner, comp, n, bits)`` -> pairs that the trees of two blocks leave, each once.
+    """``rows(grp, p, q, block, owner, comp, n, bits, before)`` -> pairs that the trees of two blocks leave, each once.
 
-    Trees are walked by narrow bitmaps; what they leave is checked by the wide ones before it leaves the group.
+    Trees are walked by narrow bitmaps; what they leave is checked by the wide ones before it leaves the group. ``before`` are the
+    owner's groups that come before ``grp``: a pair leaves the first of the groups that both are in.
     """
 
     def join(group: pa.Table) -> pa.Table:
@@ -354,6 +368,12 @@ def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
         if p == q:
             keep &= owner[a] < owner[b]
         a, b = a[keep], b[keep]
+        earlier = _shared(group.column("before"))
+        step = max(1, 500_000 // earlier.shape[1])
+        keep = np.ones(len(a), dtype=bool)
+        for lo in range(0, len(a), step):
+            keep[lo : lo + step] = ~(earlier[a[lo : lo + step]] & earlier[b[lo : lo + step]]).any(axis=1)
+        a, b = a[keep], b[keep]
         keep = np.zeros(len(a), dtype=bool)
         for lo in range(0, len(a), 4096):
             x, y = a[lo : lo + 4096], b[lo : lo + 4096]
@@ -417,10 +437,12 @@ def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFram
     size = size.filter(f"low <> high and members > {2 if STAR_ROUNDS else 1}").select("grp", F.expr(f"(members + {BLOCK} - 1) div {BLOCK}").alias("blocks"))
     rows = stored(rows.join(size, "grp"), "open")
     owners = profiles.select(F.col("doc_id").alias("owner"), "n", "bits")
+    owners = owners.join(rows.groupBy("owner").agg(F.collect_list("grp").alias("grps")), "owner")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("owner"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("grp", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "owner", "comp")
-    links = _linked(_tree_pairs(rows.join(owners, "owner"), percent), profiles, percent)
+    rows = rows.join(owners, "owner").withColumn("before", F.expr("filter(grps, g -> g < grp)")).drop("grps")
+    links = _linked(_tree_pairs(rows, percent), profiles, percent)
     comps = _merged(comps, links) if STAR_ROUNDS else components(edges.unionByName(links))
 
     known = comps.select(F.col("node").alias("doc_id"), F.col("comp").alias("component_id"))

@@ -6,6 +6,9 @@ import pytest
 from changeloom.llm import common, signature_join
 
 
+SCHEMA = "grp long, p long, q long, block long, owner long, comp long, n long, bits binary, before array<long>"
+
+
 @pytest.fixture
 def group():
     """Sets of a hundred shingles that share most of them: two copies of each but for three, and many that are too far from all."""
@@ -18,10 +21,8 @@ def group():
 
 
 def test_only_pairs_that_wide_bitmaps_allow_leave_a_group(spark, group):
-    rows = [(1, 0, 0, 0, i, i, len(s), signature_join.bitmap(s).tobytes()) for i, s in enumerate(group)]
-    # Two groups of the same sets: a pair that both leave is made one.
-    rows += [(2, *r[1:]) for r in rows]
-    frame = spark.createDataFrame(rows, "grp long, p long, q long, block long, owner long, comp long, n long, bits binary")
+    rows = [(1, 0, 0, 0, i, i, len(s), signature_join.bitmap(s).tobytes(), []) for i, s in enumerate(group)]
+    frame = spark.createDataFrame(rows, SCHEMA)
     got = {tuple(r) for r in signature_join._tree_pairs(frame, 85).collect()}
     bounds = signature_join.Bounds(85)
     linked = lambda s, t: bounds.linked(len(np.intersect1d(s, t)), len(s), len(t))
@@ -32,6 +33,21 @@ def test_only_pairs_that_wide_bitmaps_allow_leave_a_group(spark, group):
     assert len(got) < len(group)
 
 
+def test_a_pair_leaves_the_first_group_of_both_only(spark, group):
+    """Groups 1 and 2 hold all sets but one each, group 3 all: only the pair of those two leaves it."""
+    group = [group[0]] * 6
+    of = {i: [g for g in (1, 2, 3) if (g, i) not in ((1, 0), (2, 1))] for i in range(6)}
+    rows = [(g, 0, 0, 0, i, i, 100, signature_join.bitmap(group[i]).tobytes(), [x for x in of[i] if x < g]) for i in of for g in of[i]]
+    left = {}
+    for g in (1, 2, 3):
+        frame = spark.createDataFrame([r for r in rows if r[0] == g], SCHEMA)
+        left[g] = {tuple(r) for r in signature_join._tree_pairs(frame, 85).collect()}
+    every = {(i, j) for i in range(6) for j in range(i + 1, 6)}
+    assert left[1] == {p for p in every if 0 not in p}
+    assert left[2] == {p for p in every if 0 in p and 1 not in p}
+    assert left[3] == {(0, 1)}
+
+
 def test_components_grow_by_links_as_if_all_were_known_at_once(spark):
     rng = np.random.default_rng(3)
     first = [tuple(int(x) for x in rng.choice(60, 2, replace=False)) for _ in range(20)]
