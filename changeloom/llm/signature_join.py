@@ -11,14 +11,16 @@ Two documents link when the Jaccard similarity of their shingle sets is at least
    another part, so passages that many documents share do not make large groups.
 3. *Stars.* The sets of a group are compared with one of them, then with another; linked ones merge. Most
    groups are settled by this: their members are all in one component.
-4. *Trees.* The other groups are cut into blocks. A block is a tree whose nodes hold the OR of their
-   members' bitmaps and their range of sizes. Two trees are walked together from their roots; a pair
+4. *Trees.* A long document is in many groups, mostly with the same few others. So small groups that have the
+   same centre are put together into a cell, as long as it fits a block; a document is then in few cells, and its
+   bitmap moves once for each. Groups that fit no cell are cells of their own, cut into blocks. A block is a tree
+   whose nodes hold the OR of their members' bitmaps and their range of sizes. Two trees are walked together from their roots; a pair
    of nodes is left when it lies within one component, when its sizes are too far apart, or when the
    greatest overlap that its bitmaps allow is too small. Trees go by few bits; the pairs of leaves that remain are checked by many
-   before they leave the group, and then compared exactly.
+   before they leave the cell, and then compared exactly.
 
 Only links between different components are ever looked for, and a pair has to pass the bitmaps to leave its
-group, so no group's pairs are listed; a pair that several groups have in common leaves the first of them.
+cell, so no group's pairs are listed; a pair that several cells have in common leaves the first of them.
 
 Defined cases: a null or blank text has no shingles and no links (``n_shingles`` 0). A row without id has
 its own ``n_shingles`` and a null component. Rows that repeat an id are one document with several
@@ -38,6 +40,8 @@ from . import textbytes
 from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, components, runs, stored, text_bytes, unbucketed
 
 BLOCK = 512
+#: Of its cells, a row tells the first so many at most.
+TOLD_CELLS = 32
 FANOUT = 8
 STAR_ROUNDS = 2
 #: Trees go by bitmaps this many times smaller than those that pairs are checked by: a bit or two for each shingle.
@@ -334,8 +338,8 @@ def _shared(before: pa.ChunkedArray) -> np.ndarray:
 def _tree_pairs(rows: DataFrame, percent: int) -> DataFrame:
     """``rows(grp, p, q, block, owner, comp, n, bits, before)`` -> pairs that the trees of two blocks leave, each once.
 
-    Trees are walked by narrow bitmaps; what they leave is checked by the wide ones before it leaves the group. ``before`` are the
-    owner's groups that come before ``grp``: a pair leaves the first of the groups that both are in.
+    Trees are walked by narrow bitmaps; what they leave is checked by the wide ones before it leaves the cell, ``grp``. ``before`` are
+    cells of the owner that come before it: a pair that has one of them in common leaves another, as nothing comes before the first.
     """
 
     def join(group: pa.Table) -> pa.Table:
@@ -403,6 +407,16 @@ def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
     return stored(grown.unionByName(alone), "comps")
 
 
+def _cells(rows: DataFrame) -> DataFrame:
+    """Groups ``rows(grp, owner, comp, members, centre)`` put together: ``grp, owner, comp, blocks``. Two that share a group share a cell."""
+    fits = rows.filter(F.col("members") <= BLOCK).groupBy("centre").agg(F.countDistinct("owner").alias("wide")).filter(F.col("wide") <= BLOCK)
+    rows = rows.join(fits, "centre", "left")
+    whole = (F.col("members") <= BLOCK) & F.col("wide").isNotNull()
+    cell = F.when(whole, F.xxhash64("centre", F.lit("centre"))).otherwise(F.col("grp"))
+    blocks = F.expr(f"(members + {BLOCK} - 1) div {BLOCK}")  # 1 for what fits a cell
+    return rows.select(cell.alias("grp"), "owner", "comp", blocks.alias("blocks")).distinct()
+
+
 def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of each row: the smallest id reachable by links."""
     sets = stored(shingle_sets(docs, width), "sets")
@@ -432,16 +446,20 @@ def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFram
         comps = _merged(comps, links) if turn else stored(components(edges.unionByName(links)), "comps")
 
     rows = with_comp(groups)
-    size = rows.groupBy("grp").agg(F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"))
+    size = rows.groupBy("grp").agg(
+        F.count("*").alias("members"), F.min("comp").alias("low"), F.max("comp").alias("high"),
+        F.min_by("owner", F.xxhash64("owner")).alias("centre"),
+    )
     # Stars have compared the two of a pair.
-    size = size.filter(f"low <> high and members > {2 if STAR_ROUNDS else 1}").select("grp", F.expr(f"(members + {BLOCK} - 1) div {BLOCK}").alias("blocks"))
-    rows = stored(rows.join(size, "grp"), "open")
+    size = size.filter(f"low <> high and members > {2 if STAR_ROUNDS else 1}").select("grp", "members", "centre")
+    rows = stored(_cells(stored(rows.join(size, "grp"), "open")), "cells")
     owners = profiles.select(F.col("doc_id").alias("owner"), "n", "bits")
-    owners = owners.join(rows.groupBy("owner").agg(F.collect_list("grp").alias("grps")), "owner")
+    told = F.slice(F.sort_array(F.collect_list("grp")), 1, TOLD_CELLS)
+    owners = owners.join(rows.groupBy("owner").agg(told.alias("told")), "owner")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("owner"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("grp", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "owner", "comp")
-    rows = rows.join(owners, "owner").withColumn("before", F.expr("filter(grps, g -> g < grp)")).drop("grps")
+    rows = rows.join(owners, "owner").withColumn("before", F.expr("filter(told, g -> g < grp)")).drop("told")
     links = _linked(_tree_pairs(rows, percent), profiles, percent)
     comps = _merged(comps, links) if STAR_ROUNDS else components(edges.unionByName(links))
 

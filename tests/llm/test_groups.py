@@ -48,6 +48,40 @@ def test_a_pair_leaves_the_first_group_of_both_only(spark, group):
     assert left[3] == {(0, 1)}
 
 
+def test_members_of_one_group_are_members_of_one_cell(spark, monkeypatch):
+    """Groups of one centre share a cell while it fits a block; a large group stays as it is."""
+    monkeypatch.setattr(signature_join, "BLOCK", 6)
+    groups = {g: [1, 2, 3 + g % 3] for g in range(40)} | {g: [7, 10 * g, 10 * g + 1] for g in range(40, 50)} | {50: list(range(600, 620))}
+    rows = [(g, o, o, len(own), own[0]) for g, own in groups.items() for o in own]
+    got = signature_join._cells(spark.createDataFrame(rows, "grp long, owner long, comp long, members long, centre long")).collect()
+    assert len({(r.grp, r.owner) for r in got}) == len(got) == 5 + 30 + 20
+    cells = {}
+    for r in got:
+        cells.setdefault(r.grp, set()).add(r.owner)
+    assert all(any(set(own) <= cell for cell in cells.values()) for own in groups.values())
+    assert {r.blocks for r in got if r.grp == 50} == {4} and {r.blocks for r in got if r.grp != 50} == {1}
+
+
+def test_a_long_text_goes_into_few_trees(spark, monkeypatch):
+    """Eight long texts have dozens of parts in common but no link; each moves its bitmap a few times, not once for each part."""
+    rng = np.random.default_rng(11)
+    words = [f"w{k}" for k in range(400)]
+    texts = []
+    for i in range(8):
+        own = list(words)
+        for k in rng.choice(400, 9, replace=False):
+            own[k] = f"x{i}"
+        texts.append((i, " ".join(own)))
+    seen = []
+    pairs = signature_join._tree_pairs
+    monkeypatch.setattr(signature_join, "_tree_pairs", lambda rows, percent: seen.extend(rows.collect()) or pairs(rows, percent))
+    out = signature_join.similarity_components(spark.createDataFrame(texts, "doc_id long, text string"), 4, 85)
+    assert {r.component_id for r in out.collect()} == set(range(8))
+    assert 8 <= len(seen) <= 64
+    assert len({(r.grp, r.owner) for r in seen}) == len(seen)
+    assert all(len(r.before) <= signature_join.TOLD_CELLS for r in seen)
+
+
 def test_components_grow_by_links_as_if_all_were_known_at_once(spark):
     rng = np.random.default_rng(3)
     first = [tuple(int(x) for x in rng.choice(60, 2, replace=False)) for _ in range(20)]
