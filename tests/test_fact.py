@@ -219,3 +219,18 @@ def test_a_fullest_hash_bounds_every_key(spark):
     rows = spark.range(300).select(F.when(F.col("id") < 200, 7).otherwise(F.col("id")).alias("k"))
     assert 200 <= skew.most_of_a_hash(rows, "k") < 300
     assert skew.most_of_a_hash(rows.limit(0), "k") == 0
+
+
+@pytest.mark.parametrize("rows_per_task", [2, 1000])
+def test_keys_are_judged_as_by_one_count_of_all(spark, monkeypatch, rows_per_task):
+    """Keys of lines: 1 known, 2 early, 3 without version, 4 later than the first line but not early, 5 without position, 6 both, 7 hot."""
+    at = [(1, 10), (1, 50), (2, 5), (2, 90), (3, 30), (4, 60), (5, None), (6, None), (6, 40), (None, 20)] + [(7, 70)] * 4
+    lines = spark.createDataFrame(at, "k long, first_at long")
+    versions = spark.createDataFrame([(1, 3), (1, 8), (2, 7), (4, 55), (5, 1), (6, 35), (7, 4), (8, 99), (None, 1)], "k long, from_seq long")
+    counts = []
+    over = facts.over
+    monkeypatch.setattr(facts, "over", lambda *a: counts.append(a) or over(*a))
+    keys = facts._judged_keys(lines, versions, "k", rows_per_task)
+    assert sorted(map(tuple, keys.early.collect())) == [(2, 7), (3, None), (5, 1)]
+    # Keys are counted one by one only where a hash of them is too full.
+    assert keys.hot == bool(counts) == (rows_per_task == 2)
