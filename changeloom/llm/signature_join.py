@@ -34,12 +34,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from . import textbytes
 from .common import BUCKETED_DDL, KEYS_PER_BUCKET, bucketed, components, runs, stored, text_bytes, unbucketed
 
-BLOCK = 512
+#: Members of a tree.
+BLOCK = 1024
+#: Pairs of nodes that are looked at together.
+PAIRS_AT_ONCE = 4096
 #: Of its cells, a row tells the first so many at most.
 TOLD_CELLS = 32
 FANOUT = 8
@@ -295,31 +298,36 @@ class Tree:
 
 
 def walk(one: Tree, two: Tree, bounds: Bounds) -> tuple[np.ndarray, np.ndarray]:
-    """Leaves of two trees of equal height that may link and lie in different components."""
+    """Leaves of two trees of equal height that may link and lie in different components.
+
+    Depth first, a bounded number of pairs at a time: what is held beyond the result does not grow with the trees.
+    """
+    mixed = np.iinfo(np.int64).min
+    step = np.arange(FANOUT)
     top = min(len(one.levels), len(two.levels)) - 1
     i, j = (x.ravel() for x in np.meshgrid(np.arange(len(one.levels[top][1])), np.arange(len(two.levels[top][1])), indexing="ij"))
-    for level in range(top, -1, -1):
+    todo, found = [(top, i[lo : lo + PAIRS_AT_ONCE], j[lo : lo + PAIRS_AT_ONCE]) for lo in range(0, len(i), PAIRS_AT_ONCE)], []
+    while todo:
+        level, i, j = todo.pop()
         (bits_a, low_a, high_a, exc_a, comp_a), (bits_b, low_b, high_b, exc_b, comp_b) = one.levels[level], two.levels[level]
-        mixed = np.iinfo(np.int64).min
         ok = (comp_a[i] != comp_b[j]) | (comp_a[i] == mixed)
         ok &= (100 * high_a[i] >= bounds.percent * low_b[j]) & (100 * high_b[j] >= bounds.percent * low_a[i])
         i, j = i[ok], j[ok]
-        keep = np.zeros(len(i), dtype=bool)
-        for lo in range(0, len(i), 4096):
-            p, q = i[lo : lo + 4096], j[lo : lo + 4096]
-            x, y = bits_a[p], bits_b[q]
-            most = np.bitwise_count(x & y).sum(axis=1).astype(np.int64) + np.minimum(exc_a[p], exc_b[q])
-            need = bounds.least_common(low_a[p], low_b[q])
-            keep[lo : lo + 4096] = most >= need
+        most = np.bitwise_count(bits_a[i] & bits_b[j]).sum(axis=1).astype(np.int64) + np.minimum(exc_a[i], exc_b[j])
+        keep = most >= bounds.least_common(low_a[i], low_b[j])
         i, j = i[keep], j[keep]
-        if level:
-            below_a, below_b = len(one.levels[level - 1][1]), len(two.levels[level - 1][1])
-            step = np.arange(FANOUT)
-            i = (i[:, None, None] * FANOUT + step[None, :, None]).repeat(FANOUT, axis=2).ravel()
-            j = (j[:, None, None] * FANOUT + step[None, None, :]).repeat(FANOUT, axis=1).ravel()
-            there = (i < below_a) & (j < below_b)
-            i, j = i[there], j[there]
-    return i, j
+        if not level:
+            found.append((i, j))
+            continue
+        below_a, below_b = len(one.levels[level - 1][1]), len(two.levels[level - 1][1])
+        i = (i[:, None, None] * FANOUT + step[None, :, None]).repeat(FANOUT, axis=2).ravel()
+        j = (j[:, None, None] * FANOUT + step[None, None, :]).repeat(FANOUT, axis=1).ravel()
+        there = (i < below_a) & (j < below_b)
+        i, j = i[there], j[there]
+        todo += [(level - 1, i[lo : lo + PAIRS_AT_ONCE], j[lo : lo + PAIRS_AT_ONCE]) for lo in range(0, len(i), PAIRS_AT_ONCE)]
+    if not found:
+        return i[:0], j[:0]
+    return np.concatenate([x for x, _ in found]), np.concatenate([y for _, y in found])
 
 
 def _shared(before: pa.ChunkedArray) -> np.ndarray:
@@ -408,13 +416,45 @@ def _merged(comps: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _cells(rows: DataFrame) -> DataFrame:
-    """Groups ``rows(grp, owner, comp, members, centre)`` put together: ``grp, owner, comp, blocks``. Two that share a group share a cell."""
-    fits = rows.filter(F.col("members") <= BLOCK).groupBy("centre").agg(F.countDistinct("owner").alias("wide")).filter(F.col("wide") <= BLOCK)
-    rows = rows.join(fits, "centre", "left")
-    whole = (F.col("members") <= BLOCK) & F.col("wide").isNotNull()
-    cell = F.when(whole, F.xxhash64("centre", F.lit("centre"))).otherwise(F.col("grp"))
-    blocks = F.expr(f"(members + {BLOCK} - 1) div {BLOCK}")  # 1 for what fits a cell
-    return rows.select(cell.alias("grp"), "owner", "comp", blocks.alias("blocks")).distinct()
+    """Groups ``rows(grp, owner, comp, members, centre)`` put together: ``grp, owner, comp, blocks``. Two that share a group share a cell.
+
+    The groups of a centre share a cell if that fits a block, or if its rows, once for each block, are fewer than those of the groups.
+    """
+    blocks = lambda members: F.expr(f"({members} + {BLOCK} - 1) div {BLOCK}")
+    groups = rows.select("grp", "members", "centre").distinct()
+    wide = rows.groupBy("centre").agg(F.countDistinct("owner").alias("wide"))
+    apart = groups.groupBy("centre").agg(F.sum(F.col("members") * blocks("members")).alias("apart"))
+    whole = (F.col("wide") <= BLOCK) | (F.col("wide") * blocks("wide") < F.col("apart"))
+    cells = groups.join(wide.join(apart, "centre"), "centre").select(
+        "grp",
+        F.when(whole, F.xxhash64("centre", F.lit("centre"))).otherwise(F.col("grp")).alias("cell"),
+        F.when(whole, blocks("wide")).otherwise(blocks("members")).alias("blocks"),
+    )
+    return rows.select("grp", "owner", "comp").join(cells, "grp").select(F.col("cell").alias("grp"), "owner", "comp", "blocks").distinct()
+
+
+def _block_pairs(rows: DataFrame) -> DataFrame:
+    """``rows(grp, owner, comp, blocks)`` -> ``grp, p, q, block, owner, comp``: each member in its block, once for each pair of blocks to compare.
+
+    A component that is larger than a block has blocks of its own, and no two of these are compared: only members outside it meet
+    all of its blocks, so a large group of which most are linked moves few rows more than it has.
+    """
+    zero = F.lit(0).cast("long")
+    small = rows.filter("blocks = 1").select("grp", zero.alias("p"), zero.alias("q"), zero.alias("block"), "owner", "comp")
+    large = rows.filter("blocks > 1")
+    sizes = large.groupBy("grp", "comp").agg(F.count(F.lit(1)).alias("n"))
+    sizes = sizes.withColumn("own", F.when(F.col("n") > BLOCK, F.col("comp")))  # null: blocks of several components
+    slots = sizes.groupBy("grp", "own").agg(F.expr(f"(sum(n) + {BLOCK} - 1) div {BLOCK}").alias("slots"))
+    number = F.row_number().over(Window.partitionBy("grp").orderBy("own", "slot")).cast("long")
+    blocks = slots.withColumn("slot", F.explode(F.sequence(zero, F.col("slots") - 1))).withColumn("block", number)
+    other = blocks.select("grp", F.col("own").alias("other_own"), F.col("block").alias("other"))
+    pairs = blocks.join(other, "grp").filter("own IS NULL OR other_own IS NULL OR own <> other_own")
+    pairs = pairs.select("grp", F.col("own").alias("its"), "slot", "block", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"))
+    slots = slots.select("grp", F.col("own").alias("its"), "slots")
+    dealt = large.join(sizes.select("grp", "comp", "own"), ["grp", "comp"]).join(slots, "grp").filter("own <=> its")
+    dealt = dealt.withColumn("slot", F.pmod(F.xxhash64("owner"), "slots")).select("grp", "owner", "comp", "own", "slot")
+    dealt = dealt.join(pairs, ["grp", "slot"]).filter("own <=> its")
+    return small.unionByName(dealt.select("grp", "p", "q", "block", "owner", "comp"))
 
 
 def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFrame:
@@ -456,10 +496,7 @@ def similarity_components(docs: DataFrame, width: int, percent: int) -> DataFram
     owners = profiles.select(F.col("doc_id").alias("owner"), "n", "bits")
     told = F.slice(F.sort_array(F.collect_list("grp")), 1, TOLD_CELLS)
     owners = owners.join(rows.groupBy("owner").agg(told.alias("told")), "owner")
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("owner"), "blocks"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    rows = rows.select("grp", F.least("block", "other").alias("p"), F.greatest("block", "other").alias("q"), "block", "owner", "comp")
-    rows = rows.join(owners, "owner").withColumn("before", F.expr("filter(told, g -> g < grp)")).drop("told")
+    rows = _block_pairs(rows).join(owners, "owner").withColumn("before", F.expr("filter(told, g -> g < grp)")).drop("told")
     links = _linked(_tree_pairs(rows, percent), profiles, percent)
     comps = _merged(comps, links) if STAR_ROUNDS else components(edges.unionByName(links))
 

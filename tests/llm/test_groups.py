@@ -93,3 +93,50 @@ def test_components_grow_by_links_as_if_all_were_known_at_once(spark):
     assert signature_join._merged(comps, frame(first)) is comps
     grown = signature_join._merged(comps, frame(later))
     assert grown.count() == grown.select("node").distinct().count()
+
+
+def test_groups_of_one_centre_share_a_cell_of_several_blocks_where_that_moves_fewer_rows(spark, monkeypatch):
+    """A large family of copies that share many parts: its rows do not grow with the number of parts."""
+    monkeypatch.setattr(signature_join, "BLOCK", 8)
+    rng = np.random.default_rng(5)
+    groups = {g: [0, *sorted(int(x) for x in rng.choice(range(1, 40), 24, replace=False))] for g in range(30)}
+    rows = [(g, o, o, len(own), 0) for g, own in groups.items() for o in own]
+    got = signature_join._cells(spark.createDataFrame(rows, "grp long, owner long, comp long, members long, centre long")).collect()
+    every = {o for own in groups.values() for o in own}
+    assert {r.owner for r in got} == every and len(got) == len(every)
+    assert {r.blocks for r in got} == {-(-len(every) // 8)}
+
+
+def test_blocks_of_one_component_do_not_meet(spark, monkeypatch):
+    """All pairs of different components meet exactly once; rows of a group of which most are linked grow as the group does."""
+    monkeypatch.setattr(signature_join, "BLOCK", 8)
+
+    def rows_of(linked, other, apart):
+        comp = {o: 0 for o in range(linked)} | {o: 10**6 for o in range(linked, linked + other)}
+        comp |= {linked + other + k: linked + other + k for k in range(apart)}
+        blocks = -(-len(comp) // 8)
+        frame = spark.createDataFrame([(1, o, c, blocks) for o, c in comp.items()], "grp long, owner long, comp long, blocks long")
+        return comp, signature_join._block_pairs(frame).collect()
+
+    comp, rows = rows_of(40, 20, 15)
+    met = {}
+    for r in rows:
+        met.setdefault((r.p, r.q), []).append(r)
+    pairs = []
+    for (p, q), own in met.items():
+        left, right = ([r.owner for r in own if r.block == b] for b in (p, q))
+        pairs += [(a, b) for a in left for b in right if a < b] if p == q else [tuple(sorted((a, b))) for a in left for b in right]
+    wanted = {(a, b) for a in comp for b in comp if a < b and comp[a] != comp[b]}
+    assert wanted <= set(pairs) and len(pairs) == len(set(pairs))
+    few, many = (len(rows_of(n, 0, 4)[1]) for n in (80, 320))
+    assert many <= 4 * few
+
+
+def test_a_walk_of_trees_is_cut_into_pieces(monkeypatch, group):
+    """The same leaves, whatever number of pairs is looked at together."""
+    wide = np.vstack([signature_join.bitmap(s)[:8] for s in group])
+    sizes = np.array([len(s) for s in group])
+    tree, bounds = signature_join.Tree(wide, sizes, np.arange(len(group))), signature_join.Bounds(85)
+    whole = set(zip(*(x.tolist() for x in signature_join.walk(tree, tree, bounds))))
+    monkeypatch.setattr(signature_join, "PAIRS_AT_ONCE", 5)
+    assert whole and whole == set(zip(*(x.tolist() for x in signature_join.walk(tree, tree, bounds))))
