@@ -11,9 +11,10 @@ Two documents link when the Jaccard similarity of their shingle sets is at least
    another part, so passages that many documents share do not make large groups.
 3. *Stars.* The sets of a group are compared with one of them, then with another; linked ones merge. Most
    groups are settled by this: their members are all in one component.
-4. *Trees.* A long document is in many groups, mostly with the same few others. So small groups that have the
-   same centre are put together into a cell, as long as it fits a block; a document is then in few cells, and its
-   bitmap moves once for each. Groups that fit no cell are cells of their own, cut into blocks. A block is a tree
+4. *Trees.* A long document is in many groups, mostly with the same few others. So the groups that have the
+   same centre are put together into a cell, if it fits a block or has fewer rows than they have; a document is then in few
+   cells. Other groups are cells of their own. A cell is cut into blocks, and a document's bitmap moves once for each block that its
+   own meets; blocks of one large component do not meet. A block is a tree
    whose nodes hold the OR of their members' bitmaps and their range of sizes. Two trees are walked together from their roots; a pair
    of nodes is left when it lies within one component, when its sizes are too far apart, or when the
    greatest overlap that its bitmaps allow is too small. Trees go by few bits; the pairs of leaves that remain are checked by many
