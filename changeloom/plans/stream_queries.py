@@ -26,11 +26,20 @@ def _events(spark: SparkSession, sf_dir: str) -> int:
     return 2 * retail.table(spark, sf_dir, "orders").count() + retail.table(spark, sf_dir, "lineitem").count()
 
 
+def _files(spark: SparkSession, sf_dir: str) -> int:
+    """Files of the log; never fewer than four."""
+    return max(4, -(-_events(spark, sf_dir) // FILE_EVENTS))
+
+
+def _half(spark: SparkSession, sf_dir: str) -> int:
+    """Files in a micro-batch: two of them take the log, whatever its size, as one costs what the state that it touches does."""
+    return -(-_files(spark, sf_dir) // 2)
+
+
 def _written_log(spark: SparkSession, sf_dir: str, times: int = 1) -> str:
-    """The log in files that each hold events of all times and tables, ``times`` over; never fewer than four."""
+    """The log in files that each hold events of all times and tables, ``times`` over."""
     path = workspace(spark, "log")
-    files = max(4, -(-_events(spark, sf_dir) // FILE_EVENTS))
-    log = retail.log(spark, sf_dir).repartition(files, "seq")
+    log = retail.log(spark, sf_dir).repartition(_files(spark, sf_dir), "seq")
     for _ in range(times):
         log.write.mode("append").option("compression", COMPRESSION).parquet(path)
     return path
@@ -50,15 +59,13 @@ def _star_root(spark: SparkSession, sf_dir: str) -> str:
 def _star_stream(spark: SparkSession, sf_dir: str, times: int = 1, **options) -> str:
     """Run the log through the stream in two micro-batches a pass; the root of the written tables."""
     root = workspace(spark, "star")
-    events = _events(spark, sf_dir)
-    half = max(2, -(-events // FILE_EVENTS) // 2)
-    log = changelog.stream_log(spark, _written_log(spark, sf_dir, times), files_per_batch=half)
+    log = changelog.stream_log(spark, _written_log(spark, sf_dir, times), files_per_batch=_half(spark, sf_dir))
     stream = StarStream(
         root,
         retail.dim_dates(spark),
         retail.customer_source(spark, sf_dir),
         retail.product_source(spark, sf_dir),
-        buckets=max(2, -(-events // BUCKET_ROWS)),
+        buckets=max(2, -(-_events(spark, sf_dir) // BUCKET_ROWS)),
         **options,
     )
     stream.start(log).awaitTermination()
@@ -144,7 +151,7 @@ def stream_changed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         name, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     )
     try:
-        orders, items = _event_streams(spark, _written_log(spark, sf_dir), files=2)
+        orders, items = _event_streams(spark, _written_log(spark, sf_dir), files=_half(spark, sf_dir))
         rows = _appended(stateful.changed_lines(orders, items, salts=2), workspace(spark, "changed"), "update")
     finally:
         spark.conf.set(name, before)

@@ -2,7 +2,8 @@
 
 ``StarStream`` looks touched keys up in its tables. Here Spark's state store does: each block of orders with neighbouring
 ids keeps the rows of its orders and of their items as whole columns, and an event gives out the lines that it
-changes. A block is one call and one read and write of its state however many of its orders have events; orders whose ids are
+changes. A block is one call and one read and write of its state however many of its orders have events, so a micro-batch of
+few events costs as much as one of many: few and large ones are the cheap way through a long log. Orders whose ids are
 far apart are a block each. The state of a block is spread over ``salts`` keys by item, order events going to all
 of them, so that an order with very many items is the work of many tasks. Items are kept in pages by
 ranges of their ids: a micro-batch reads and writes each touched page once and merges it as a whole; an order event reads
@@ -18,6 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -55,8 +57,9 @@ _ORDER_COLUMNS, _ITEM_COLUMNS, _OUT_COLUMNS = _columns(_ORDER), _columns(_ITEM),
 _KEPT = ["order_id", "touched"]
 
 
-def _arrays(columns: list[str]) -> str:
-    return ", ".join(f"{c} ARRAY<{'STRING' if c == 'status' else 'LONG'}>" for c in columns)
+#: How the state holds rows: numbers column by column as one compressed piece, and the texts that ``status`` counts in.
+_PACKED = "size LONG, numbers BINARY, texts ARRAY<STRING>"
+_CODEC = "zstd"
 
 
 # Columns that are taken together, by the first of them: from the lower or the higher row.
@@ -101,6 +104,28 @@ def _columns_of(columns: list[str], values) -> Rows:
     return {c: np.array(v, dtype=object if c == "status" else np.int64) for c, v in zip(columns, values)}
 
 
+def packed(rows: Rows, columns: list[str]) -> tuple[int, bytes, list[str]]:
+    """Rows in the layout of ``_PACKED``: single values would be converted one by one on their way to the store."""
+    texts, numbers = np.zeros(0, object), []
+    for name in columns:
+        if name == "status":
+            codes, texts = pd.factorize(rows[name])
+            numbers.append(codes.astype(np.int64))
+        else:
+            numbers.append(np.ascontiguousarray(rows[name], dtype=np.int64))
+    return len(numbers[0]), pa.compress(np.concatenate(numbers).tobytes(), codec=_CODEC, asbytes=True), texts.tolist()
+
+
+def unpacked(values: tuple[int, bytes, list[str]], columns: list[str]) -> Rows:
+    size, numbers, texts = values
+    whole = pa.decompress(bytes(numbers), decompressed_size=8 * size * len(columns), codec=_CODEC)
+    rows = dict(zip(columns, np.frombuffer(whole, np.int64).reshape(len(columns), size)))
+    if "status" in rows:
+        # A code of -1 is a null.
+        rows["status"] = np.array([*texts, None], dtype=object)[rows["status"]]
+    return rows
+
+
 class OrderLines(StatefulProcessor):
     """State of one (block, salt): the rows of its orders, and of their items in pages of ``PAGE`` ids."""
 
@@ -108,8 +133,8 @@ class OrderLines(StatefulProcessor):
         self.keep_ms = keep_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.orders = handle.getValueState("orders", _arrays(_KEPT + _ORDER_COLUMNS), self.keep_ms)
-        self.pages = handle.getMapState("pages", "page LONG", _arrays(_KEPT + _ITEM_COLUMNS), self.keep_ms)
+        self.orders = handle.getValueState("orders", _PACKED, self.keep_ms)
+        self.pages = handle.getMapState("pages", "page LONG", _PACKED, self.keep_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         now = 0 if self.keep_ms is None else timerValues.getCurrentProcessingTimeInMs()
@@ -127,7 +152,7 @@ class OrderLines(StatefulProcessor):
         changed = np.unique(np.concatenate([part["order_id"] for part in new])) if new else np.zeros(0, np.int64)
         if new:
             orders = merged(_together([orders, *new] if orders else new), "order_id", _ORDER_GROUPS)
-            self.orders.update(tuple(orders[c].tolist() for c in _KEPT + _ORDER_COLUMNS))
+            self.orders.update(packed(orders, _KEPT + _ORDER_COLUMNS))
         done = set()
         for number, page, touched in self._touched(items, now):
             done.add(number)
@@ -143,7 +168,7 @@ class OrderLines(StatefulProcessor):
         """Stored rows, without those whose time has run out; an empty dict if there are none at all."""
         if not values:
             return {}
-        rows = _columns_of(_KEPT + columns, values)
+        rows = unpacked(values, _KEPT + columns)
         if self.keep_ms is None:
             return rows
         alive = rows["touched"] > now - self.keep_ms
@@ -156,13 +181,15 @@ class OrderLines(StatefulProcessor):
         items = merged(_together(items), _ITEM_KEY, _ITEM_GROUPS)
         pages = items["order_item_id"] // PAGE
         for number in np.unique(pages).tolist():
-            new = {c: v[pages == number] for c, v in items.items()}
+            own = pages == number
+            new = {c: v[own] for c, v in items.items()} | {"new": np.ones(int(own.sum()), np.int64)}
             stored = self._stored(_ITEM_COLUMNS, self.pages.getValue((number,)), now)
-            whole = merged(_together([stored, new] if stored else [new]), _ITEM_KEY, _ITEM_GROUPS)
+            if stored:
+                stored["new"] = np.zeros(len(stored["order_id"]), np.int64)
+            whole = merged(_together([stored, new] if stored else [new]), _ITEM_KEY, (*_ITEM_GROUPS, (("new",), False)))
             whole["touched"][np.isin(whole["order_id"], new["order_id"])] = now
-            self.pages.updateValue((number,), tuple(whole[c].tolist() for c in _KEPT + _ITEM_COLUMNS))
-            pairs = [pd.MultiIndex.from_arrays([rows[c] for c in _ITEM_KEY]) for rows in (whole, new)]
-            yield number, whole, pairs[0].isin(pairs[1])
+            self.pages.updateValue((number,), packed(whole, _KEPT + _ITEM_COLUMNS))
+            yield number, whole, whole["new"] == 1
 
     @staticmethod
     def _lines(orders: Rows, items: Rows, wanted: np.ndarray) -> Iterator[pd.DataFrame]:
